@@ -1,0 +1 @@
+"""No streaming operators: every source in the inventory is a finished batch table."""
