@@ -54,5 +54,5 @@ def rank_in_group(
     return (
         binned.join(offsets.select(group, "__bin", "n_before"), [group, "__bin"])
         .withColumn(rank, F.col("n_before") + F.row_number().over(within))
-        .drop("__bin", "n_before")
+        .select(*df.columns, rank)
     )

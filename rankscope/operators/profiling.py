@@ -44,14 +44,19 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """NULL count and percent per column, most NULLs first; percent is NULL for an empty table."""
-    columns = list(columns or df.columns)
-    counts = df.agg(
-        F.count("*").alias("__rows"), *[null_count(f"`{c}`").alias(c) for c in columns]
-    )
+    entries = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            null_count(f"`{c}`").alias("null_count"),
+            F.count("*").alias("rows"),
+        )
+        for c in columns or df.columns
+    ]
+    counts = df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
+    percent = guarded_percent(F.col("null_count"), F.col("rows"), 4)
     return (
-        counts.unpivot("__rows", columns, "column_name", "null_count")
-        .withColumn("null_pct", guarded_percent(F.col("null_count"), F.col("__rows"), 4))
-        .drop("__rows")
+        counts.withColumn("null_pct", percent)
+        .drop("rows")
         .orderBy(F.desc("null_count"), "column_name")
     )
 

@@ -76,7 +76,7 @@ def sample_exact(
         .filter(F.col("__bin") <= F.col("__last_bin"))
         .withColumn("__row", row)
         .filter((F.col("__bin") < F.col("__last_bin")) | (F.col("__row") <= F.col("__room")))
-        .drop("__hash", "__bin", "__last_bin", "__room", "__row")
+        .select(*people.columns)
     )
 
 
