@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Column types of the result tables, for reading them back without inference.
 _SCORES = (
@@ -58,8 +59,10 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    reader = spark.read.option("header", True).schema(RESULT_SCHEMAS[name])
-    return reader.csv(f"{folder.rstrip('/')}/{name}")
+    """A result table with its column types. Columns are found by name, in whatever order."""
+    text = spark.read.option("header", True).csv(f"{folder.rstrip('/')}/{name}")
+    columns = StructType.fromDDL(RESULT_SCHEMAS[name])
+    return text.select(*[F.col(c.name).cast(c.dataType) for c in columns])
 
 
 def write_document(df: DataFrame, path: str) -> None:
