@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankscope import vocabulary as v
+from rankscope.session import side_by_side
 
 SCALED = "features_scaled"
 
@@ -56,11 +57,13 @@ def sweep(
     seed: int = v.SEED,
 ) -> DataFrame:
     """Cost and silhouette for each number of clusters. ``scaled`` should be persisted."""
-    rows = []
-    for k in counts:
+
+    def measure(k: int) -> tuple[int, float, float]:
         model = fit_clusters(scaled, k, iterations, seed)
         cost = float(model.summary.trainingCost)
-        rows.append((k, cost, float(silhouette(model.transform(scaled)))))
+        return k, cost, float(silhouette(model.transform(scaled)))
+
+    rows = side_by_side(measure, counts)
     return scaled.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 

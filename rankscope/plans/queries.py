@@ -32,7 +32,7 @@ from rankscope.plans.studies import (
     study_population,
     study_sample,
 )
-from rankscope.session import kept
+from rankscope.session import cut_lineage, kept
 from rankscope.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,14 +203,17 @@ def debut_facts(spark, sf_dir):
 
 @query
 def executive_facts(spark, sf_dir):
+    daily = charts.daily_chart(spark, sf_dir)
+    weekly = charts.weekly_chart(spark, sf_dir)
+    diversity = leadership.leader_diversity(daily)
     return facts.executive_facts(
-        leader_share(spark, sf_dir),
-        turnover_facts(spark, sf_dir),
-        leader_diversity_facts(spark, sf_dir),
-        band_permanence(spark, sf_dir),
-        label_top10(spark, sf_dir),
-        release_lag_facts(spark, sf_dir),
-        debut_facts(spark, sf_dir),
+        leadership.leader_share(leadership.leaders(daily)),
+        turnover.turnover_facts(turnover.top_status(daily)),
+        leadership.leader_diversity_facts(diversity),
+        turnover.band_permanence(daily),
+        releases.label_top(weekly),
+        releases.release_lag_facts(releases.release_lag(weekly)),
+        releases.debut_facts(releases.debut_permanence(weekly)),
     ).drop("text")
 
 
@@ -311,6 +314,11 @@ def _with_folds(spark, sf_dir):
     return study_folds(_drawn(spark, sf_dir), SETTINGS)
 
 
+def _stored_sample(spark, sf_dir):
+    """The sample for operators that read it many times."""
+    return cut_lineage(_with_folds(spark, sf_dir))
+
+
 @query
 def population_audit(spark, sf_dir):
     return profiling.population_audit(charts.monthly_chart(spark, sf_dir))
@@ -396,14 +404,13 @@ def class_weights(spark, sf_dir):
 
 @query
 def label_index(spark, sf_dir):
-    with kept(_with_folds(spark, sf_dir)) as sample:
-        _, model = forest.add_features(sample)
+    _, model = forest.add_features(_stored_sample(spark, sf_dir))
     return forest.category_index(model, spark)
 
 
 @query
 def scaled(spark, sf_dir):
-    rows, _ = segments.scale(_with_folds(spark, sf_dir))
+    rows, _ = segments.scale(_stored_sample(spark, sf_dir))
     return segments.scaled_columns(rows, ["id"])
 
 
@@ -498,13 +505,12 @@ def best_fold(spark, sf_dir):
 
 
 def _cross_validated(spark, sf_dir, result):
-    with kept(_with_folds(spark, sf_dir)) as sample:
-        featured, model = forest.add_features(sample)
-        forest.check_bins(model)
-        with kept(featured) as features:
-            cv = forest.cross_validate(features, 20, 6)
-            table = small(result(cv, features))
-            cv.release()
+    featured, model = forest.add_features(_stored_sample(spark, sf_dir))
+    forest.check_bins(model)
+    with kept(featured) as features:
+        cv = forest.cross_validate(features, 20, 6)
+        table = small(result(cv, features))
+        cv.release()
     return table
 
 
@@ -529,18 +535,16 @@ def importance(spark, sf_dir):
 
 @query
 def tuning(spark, sf_dir):
-    with kept(_with_folds(spark, sf_dir)) as sample:
-        featured, _ = forest.add_features(sample)
-        with kept(featured) as features:
-            return forest.tune(features, ((10, 4), (20, 4), (10, 6), (20, 6)))
+    featured, _ = forest.add_features(_stored_sample(spark, sf_dir))
+    with kept(featured) as features:
+        return forest.tune(features, ((10, 4), (20, 4), (10, 6), (20, 6)))
 
 
 def _clustered(spark, sf_dir, result):
-    with kept(_with_folds(spark, sf_dir)) as sample:
-        scaled_rows, scaler = segments.scale(sample)
-        columns = [segments.SCALED, "partition_id", *v.CLUSTER_FEATURES]
-        with kept(scaled_rows.select(*columns)) as rows:
-            return small(result(segments.cluster(rows, scaler)))
+    scaled_rows, scaler = segments.scale(_stored_sample(spark, sf_dir))
+    columns = [segments.SCALED, "partition_id", *v.CLUSTER_FEATURES]
+    with kept(scaled_rows.select(*columns)) as rows:
+        return small(result(segments.cluster(rows, scaler)))
 
 
 @query

@@ -151,72 +151,74 @@ def small(df: DataFrame) -> DataFrame:
 def run_study(chart: DataFrame, settings: StudySettings | None = None) -> Study:
     """Population, sample, folds, forest, baseline and clusters, from the six study columns.
 
-    The sample and its features are persisted. The population is read several times; it is written
-    to the cluster's checkpoint folder when there is one.
+    Population, sample and predictions are read many times. They are written to the cluster's
+    checkpoint folder, or persisted where it names none, so that no later plan holds their history.
     """
     s = settings or StudySettings()
     people = cut_lineage(study_population(chart, s))
-    with kept(study_sample(people, s)) as drawn, kept(study_folds(drawn, s)) as sample:
-        strata = small(cohort.strata(people, s.target))
-        compared = small(sampling.compare_strata(strata, drawn))
-        sizes = small(sampling.fold_sizes(sample))
-        tables = {"strata": compared, "folds": sizes}
-
-        featured, model = forest.add_features(sample)
-        forest.check_bins(model)
-        names = forest.label_names(model)
-        positive = forest.positive_label(names)
-        with kept(featured) as features:
-            tuned = forest.tune(features, s.grid, 0, s.folds, s.seed, positive)
-            trees, depth = tuned.select("numTrees", "maxDepth").first()
-            cv = forest.cross_validate(features, trees, depth, s.folds, s.seed, positive)
-            metrics = small(cv.metrics)
-            counts = small(cv.confusion)
-            baseline = small(
-                evaluation.majority_baseline(evaluation.label_counts(features, s.folds))
-            )
-            cv.release()
-        best = evaluation.best_fold(metrics)
-        classes = evaluation.per_class(counts, names)
-        versus = evaluation.model_vs_baseline(metrics, baseline)
+    drawn = cut_lineage(study_sample(people, s))
+    sample = cut_lineage(study_folds(drawn, s))
+    strata = small(cohort.strata(people, s.target))
+    compared = small(sampling.compare_strata(strata, drawn))
+    sizes = small(sampling.fold_sizes(sample))
+    tables = {"strata": compared, "folds": sizes}
+
+    featured, model = forest.add_features(sample)
+    forest.check_bins(model)
+    names = forest.label_names(model)
+    positive = forest.positive_label(names)
+    with kept(featured) as features:
+        tuned = forest.tune(features, s.grid, 0, s.folds, s.seed, positive)
+        trees, depth = tuned.select("numTrees", "maxDepth").first()
+        cv = forest.cross_validate(features, trees, depth, s.folds, s.seed, positive)
+        metrics = small(cv.metrics)
+        counts = small(cv.confusion)
+        baseline = small(
+            evaluation.majority_baseline(evaluation.label_counts(features, s.folds))
+        )
+        cv.release()
+    best = evaluation.best_fold(metrics)
+    classes = evaluation.per_class(counts, names)
+    versus = evaluation.model_vs_baseline(metrics, baseline)
+    tables |= {
+        "tuning": tuned,
+        "fold_metrics": metrics,
+        "baseline_folds": baseline,
+        "model_vs_baseline": versus,
+        "per_class": classes,
+        "summary": evaluation.metrics_summary(metrics, scale=4),
+        "confusion": evaluation.confusion_matrix(counts, best.first()["fold_id"], names),
+        "importance": forest.importance_summary(cv.importances),
+    }
+
+    scaled, scaler = segments.scale(sample)
+    columns = [segments.SCALED, "partition_id", *v.CLUSTER_FEATURES]
+    with kept(scaled.select(*columns)) as scaled_rows:
+        clusters = segments.cluster(scaled_rows, scaler, s.cluster_counts, seed=s.seed)
+        strata_names = [r[0] for r in strata.select("partition_id").collect()]
         tables |= {
-            "tuning": tuned,
-            "fold_metrics": metrics,
-            "baseline_folds": baseline,
-            "model_vs_baseline": versus,
-            "per_class": classes,
-            "summary": evaluation.metrics_summary(metrics, scale=4),
-            "confusion": evaluation.confusion_matrix(counts, best.first()["fold_id"], names),
-            "importance": forest.importance_summary(cv.importances),
+            "kmeans": clusters.sweep,
+            "cluster_sizes": small(clusters.sizes),
+            "centroids": small(clusters.centroids),
+            "cluster_composition": small(
+                segments.composition(clusters.clustered, strata_names, percent=True)
+            ),
         }
-
-        scaled, scaler = segments.scale(sample)
-        columns = [segments.SCALED, "partition_id", *v.CLUSTER_FEATURES]
-        with kept(scaled.select(*columns)) as scaled_rows:
-            clusters = segments.cluster(scaled_rows, scaler, s.cluster_counts, seed=s.seed)
-            strata_names = [r[0] for r in strata.select("partition_id").collect()]
-            tables |= {
-                "kmeans": clusters.sweep,
-                "cluster_sizes": small(clusters.sizes),
-                "centroids": small(clusters.centroids),
-                "cluster_composition": small(
-                    segments.composition(clusters.clustered, strata_names, percent=True)
-                ),
-            }
-        checks = sampling.sample_checks(compared, drawn, s.target, s.expected_strata)
-        document = report.metrics_document(
-            profiling.population_audit(chart),
-            checks,
-            sampling.fold_checks(sample, s.folds),
-            (trees, depth),
-            versus,
-            best,
-            classes,
-            (clusters.k, clusters.silhouette, clusters.inertia),
-            filtered_records=strata.agg(F.sum("count")).first()[0],
-            target=s.target,
-            excluded=s.excluded,
-            start=s.start,
-        )
-    people.unpersist()
+    checks = sampling.sample_checks(compared, drawn, s.target, s.expected_strata)
+    document = report.metrics_document(
+        profiling.population_audit(chart),
+        checks,
+        sampling.fold_checks(sample, s.folds),
+        (trees, depth),
+        versus,
+        best,
+        classes,
+        (clusters.k, clusters.silhouette, clusters.inertia),
+        filtered_records=strata.agg(F.sum("count")).first()[0],
+        target=s.target,
+        excluded=s.excluded,
+        start=s.start,
+    )
+    for stored in (people, drawn, sample):
+        stored.unpersist()
     return Study(document, tables)

@@ -1,14 +1,19 @@
-"""Session settings and the two ways of keeping an intermediate result."""
+"""Session settings, ways of keeping an intermediate result, and jobs side by side."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 from uuid import uuid4
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -54,3 +59,15 @@ def cut_lineage(df: DataFrame, folder: str | None = None) -> DataFrame:
     path = f"{folder.rstrip('/')}/rankscope-{uuid4()}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def side_by_side(
+    function: Callable[[Item], Result], items: Iterable[Item], workers: int = 4
+) -> list[Result]:
+    """``function`` of each item, a few at a time, results in order.
+
+    For a handful of independent fits on one persisted table: a single fit on a sample leaves most
+    executors idle.
+    """
+    with ThreadPool(workers) as pool:
+        return pool.map(inheritable_thread_target(function), items, chunksize=1)

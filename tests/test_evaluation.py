@@ -7,7 +7,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from rankscope.operators import cohort, evaluation, forest, roc, segments
+from rankscope.operators import cohort, evaluation, forest, report, roc, segments
 
 COUNTS = "fold_id int, label double, prediction double, count long"
 NAMES = {0.0: "Estable", 1.0: "Top"}
@@ -226,3 +226,17 @@ def test_best_count_prefers_fewer_clusters_on_ties(spark):
         [(2, 9.0, 0.4), (3, 8.0, 0.5), (4, 7.0, 0.5)], "k int, inertia double, silhouette double"
     )
     assert segments.best_count(df) == 3
+
+
+def test_model_summary(spark):
+    metrics = spark.createDataFrame(FOLD_METRICS, METRIC_SCHEMA)
+    table = report.model_summary(
+        evaluation.metrics_summary(metrics), evaluation.best_fold(metrics)
+    )
+    assert {r["item"]: r.value for r in table.collect()} == {
+        "best_fold": "3",
+        "auc_roc_mean": "0.7881",
+        "auc_roc_std": "0.0024",
+        "f1_weighted_mean": "0.7506",
+        "f1_weighted_std": "0.0038",
+    }
