@@ -63,8 +63,9 @@ def sweep(
         cost = float(model.summary.trainingCost)
         return k, cost, float(silhouette(model.transform(scaled)))
 
-    rows = side_by_side(measure, counts)
-    return scaled.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+    spark = scaled.sparkSession
+    rows = side_by_side(spark, measure, counts)
+    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
 def best_count(results: DataFrame) -> int:

@@ -62,7 +62,10 @@ def cut_lineage(df: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def side_by_side(
-    function: Callable[[Item], Result], items: Iterable[Item], workers: int = 4
+    spark: SparkSession,
+    function: Callable[[Item], Result],
+    items: Iterable[Item],
+    workers: int = 4,
 ) -> list[Result]:
     """``function`` of each item, a few at a time, results in order.
 
@@ -70,4 +73,4 @@ def side_by_side(
     executors idle.
     """
     with ThreadPool(workers) as pool:
-        return pool.map(inheritable_thread_target(function), items, chunksize=1)
+        return pool.map(inheritable_thread_target(spark)(function), items, chunksize=1)
