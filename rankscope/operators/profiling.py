@@ -15,10 +15,11 @@ from rankscope.functions.parsing import malformed
 
 def numeric_columns(df: DataFrame) -> list[str]:
     """Integer and floating columns; bytes and decimals do not count as numeric here."""
+    excluded = (ByteType, DecimalType)
     return [
         f.name
         for f in df.schema
-        if isinstance(f.dataType, NumericType) and not isinstance(f.dataType, (ByteType, DecimalType))
+        if isinstance(f.dataType, NumericType) and not isinstance(f.dataType, excluded)
     ]
 
 

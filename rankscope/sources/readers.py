@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from rankscope import vocabulary as v
 from rankscope.functions.parsing import safe_date, safe_int
 
 

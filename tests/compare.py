@@ -28,7 +28,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 5) + 0.0
+        return None if math.isnan(value) else "-0.0" if str(value) == "-0.0" else value
     return value
 
 

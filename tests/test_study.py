@@ -144,6 +144,11 @@ def test_unseen_category_and_unseen_label(spark, sample):
         model.transform(sample.limit(1).withColumn("rank_tier", F.lit("Other"))).collect()
 
 
+def test_category_with_too_many_values_is_refused_before_it_is_collected(sample):
+    with pytest.raises(ValueError, match="country has about .* values for 128 bins"):
+        forest.add_features(sample.withColumn("country", sample.id))
+
+
 def test_scaled_columns_have_mean_zero_and_deviation_one(sample):
     from pyspark.sql import functions as F
 
