@@ -17,8 +17,8 @@ Order of the steps:
 3. Documents with equal band keys are checked against the most central of them. This only
    unites the bulk of large groups early; nothing depends on what it misses.
 4. Lists with documents of one class only are dropped. In the others, each document outside the
-   list's main class meets the documents of other classes, if size and places in the lists allow the
-   similarity. Pairs are checked exactly; classes are the components of all links.
+   list's main class meets the documents of other classes. Where the sizes, the places in the lists
+   and the number of shared list entries allow the similarity, the pair is a candidate. Candidates are checked exactly; classes are the components of all links.
 
 NULL and empty texts have no shingles and link with nothing. A text of fewer than five words is one
 shingle. A row without id gets no class. Rows with equal id count as one document if their texts are
@@ -132,13 +132,13 @@ def _sketch(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        cells, sizes = np.zeros(1 << CELL_BITS, np.int64), np.zeros(CHUNK, np.int64)
+        cells, sizes = np.zeros(1 << CELL_BITS, np.int32), np.zeros(CHUNK, np.int32)
         for batch in batches:
             sets = shingler.sets(strings(batch, "text"))
             if sets:
-                cells += np.bincount(_cells(np.concatenate(sets)), minlength=1 << CELL_BITS)
+                cells += np.bincount(_cells(np.concatenate(sets)), minlength=1 << CELL_BITS).astype(np.int32)
                 lengths = np.array([len(s) for s in sets])
-                sizes += np.bincount(lengths[lengths <= SMALL], minlength=CHUNK)
+                sizes += np.bincount(lengths[lengths <= SMALL], minlength=CHUNK).astype(np.int32)
         pieces = np.concatenate([cells, sizes]).reshape(-1, CHUNK)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(pieces), dtype=np.int32)), pa.array([p.tobytes() for p in pieces])], ["piece", "counts"]
@@ -148,7 +148,7 @@ def _sketch(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for piece, raw in zip(batch.column("piece").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                sums[piece] = sums.get(piece, 0) + np.frombuffer(raw, np.int64)
+                sums[piece] = sums.get(piece, 0) + np.frombuffer(raw, np.int32).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())],
             ["piece", "counts"],
@@ -320,10 +320,19 @@ def _listed_pairs(entries: DataFrame, classes: DataFrame, limit: int) -> DataFra
     )
     met = left.join(rows, "shingle").filter(
         "c <> c1 and (c = main or doc_id1 < doc_id) and 4 * least(n, n1) >= 3 * greatest(n, n1) "
-        f"and greatest(n, n1) > {limit} "
-        "and 7 * least(n - place, n1 - place1) >= 3 * (n + n1)"
+        f"and greatest(n, n1) > {limit}"
     )
-    return met.select(F.col("doc_id1").alias("p"), F.col("doc_id").alias("d")).distinct()
+    # a shared shingle appears once for a pair, on whichever side it is outside the main class
+    pair = met.select(
+        F.least("doc_id1", "doc_id").alias("p"), F.greatest("doc_id1", "doc_id").alias("d"), "n", "n1",
+        F.expr("7 * least(n - place, n1 - place1) >= 3 * (n + n1)").alias("room"),
+    ).groupBy("p", "d").agg(
+        F.count("*").alias("k"), F.max("room").alias("room"), F.max(F.expr("n + n1")).alias("both"),
+        F.max(F.greatest("n", "n1")).alias("larger"),
+    )
+    # past the lists, a set has ceil(3n/4) - 1 shingles, so no more can be shared there
+    possible = "room and 7 * (k + ceil(3 * larger / 4) - 1) >= 3 * both"
+    return pair.filter(possible).select("p", "d")
 
 
 def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
