@@ -120,7 +120,7 @@ _PLAIN = (
     ("no-redistribution", "prohibited", r"(?:reproduction|redistribution|copying)(?: of this \w+)? is (?:strictly )?prohibited", 0.7),
     ("no-redistribution", "may not be", r"may not be (?:reproduced|copied|redistributed)", 0.6),
     ("permission-required", "written permission", r"without (?:the )?(?:prior |express )*written permission", 0.5),
-    ("license-notice", "licensed under", r"(?:is |are )?licen[cs]ed under (?:the |a )?", 0.3),
+    ("license-notice", "licensed under", r"(?:is |are )?licen[cs]ed under(?: the| a)?", 0.3),
     ("license-notice", "terms of", r"under the terms of the(?: \w+){1,6} licen[cs]e", 0.5),
     ("warranty-disclaimer", "warranties", r"without warranties or conditions of any kind", 0.5),
     ("warranty-disclaimer", "warranty", r"without (?:any|even the implied) warranty", 0.5),

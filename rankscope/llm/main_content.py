@@ -59,6 +59,7 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:
 
 Weights = dict[str, float]
 TAG_COST = -1.0
+HIDDEN_COST = -0.02
 PRIOR = 2.0
 
 
@@ -198,9 +199,11 @@ def extract_text(page: str, weights: Weights) -> str:
     best, best_span, total, start = 0.0, (0, 0), 0.0, 0
     for i, (content, kind, tag) in enumerate(parts):
         if tag:
-            total += TAG_COST if weight(kind, weights) < 0 else TAG_COST / 10
+            total += TAG_COST / 10 if kind.startswith("~") or weight(kind, weights) > 0 else TAG_COST
         else:
-            total += len(content.split()) * weight(kind, weights)
+            # what is hidden by its name is never text, so it hardly parts a stretch
+            worth = HIDDEN_COST if kind.startswith("~") else weight(kind, weights)
+            total += len(content.split()) * worth
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:

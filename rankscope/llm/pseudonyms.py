@@ -104,20 +104,14 @@ def card(text: Column, key: str) -> Column:
 
 
 def phone(text: Column, key: str) -> Column:
-    """North American numbers: area and exchange stay in their ranges, the country code stays."""
+    """Ten-digit numbers whose area has no leading zero; so has the pseudonym. A country code stays."""
     number = F.substring(digits(text), -10, 10)
     lead = F.substring(digits(text), F.lit(1), F.length(digits(text)) - 10)
-    area, exchange, line = (F.substring(number, a, n).cast("long") for a, n in ((1, 3), (4, 3), (7, 4)))
-    index = ((area - 200) * 800 + exchange - 200) * 10_000 + line
-    made = feistel(index, 640_000, 10_000, key, "phone")
-    pair = ((made - F.pmod(made, F.lit(10_000))) / 10_000).cast("long")
-    out = F.concat(
-        lead,
-        padded(((pair - F.pmod(pair, F.lit(800))) / 800).cast("long") + 200, 3),
-        padded(F.pmod(pair, F.lit(800)) + 200, 3),
-        padded(F.pmod(made, F.lit(10_000)), 4),
-    )
-    return F.when((area >= 200) & (exchange >= 200), refill(text, out)).otherwise(text)
+    area, rest = F.substring(number, 1, 3).cast("long"), F.substring(number, 4, 7).cast("long")
+    made = feistel((area - 100) * 10_000_000 + rest, 900_000, 10_000, key, "phone")
+    local = F.pmod(made, F.lit(10_000_000))
+    out = F.concat(lead, padded(((made - local) / 10_000_000).cast("long") + 100, 3), padded(local, 7))
+    return F.when(area >= 100, refill(text, out)).otherwise(text)
 
 
 def address(text: Column, key: str) -> Column:
