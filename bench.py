@@ -1,7 +1,7 @@
 """Seconds per registered query; prints one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default all), ``BENCH_QUERIES`` (comma
-separated, default the headline set). Each query is planned and run in full to a sink that discards
+separated, default all). Each query is planned and run in full to a sink that discards
 rows. The first query is run once beforehand, so that no figure holds the start of the engine.
 """
 
@@ -16,16 +16,7 @@ from pyspark.sql import SparkSession
 from rankscope.plans.queries import QUERIES
 from rankscope.session import build_session
 
-HEADLINE = (
-    "leaders", "leader_share", "leader_reach", "leader_diversity", "top10_status",
-    "turnover_facts", "band_permanence", "market_diagnostics", "market_anomalies",
-    "market_volatility", "market_stable", "label_top10", "label_no1", "release_lag",
-    "debut_permanence", "executive_facts", "safe_parse", "quality", "coverage", "table_profile",
-    "summary_union", "null_profile", "numeric_summary", "duplicates", "population_audit",
-    "entity_profile", "population", "strata", "sample_exact", "strata_compare", "folds",
-    "fold_checks", "class_weights", "label_index", "scaled", "composition", "per_class", "metrics",
-    "roc_points", "auc", "majority_baseline", "model_vs_baseline", "forest_cv", "kmeans_sweep",
-)
+HEADLINE = tuple(QUERIES)
 
 
 def run(spark: SparkSession, name: str, sf_dir: str) -> float:

@@ -55,6 +55,16 @@ def tier_class(name: str, until: int = v.TOP_UNTIL) -> Column:
     return two_way(F.col(name) <= until, v.TOP, v.STABLE)
 
 
+def all_strata() -> list[str]:
+    """The keys of every combination of classes."""
+    return [
+        f"{tenure}-{scope}-{tier}"
+        for tenure in (v.NEWCOMER, v.VETERAN)
+        for scope in (v.GLOBAL, v.LOCAL)
+        for tier in (v.STABLE, v.TOP)
+    ]
+
+
 def stratum_key(*names: str) -> Column:
     """Class names joined by ``-``. A NULL part is left out, so the key itself is never NULL."""
     return F.concat_ws("-", *names)

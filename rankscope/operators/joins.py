@@ -2,52 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded(df: DataFrame, most: int, what: str) -> DataFrame:
-    """``df`` unchanged if it has at most ``most`` rows; otherwise the query fails.
-
-    For the tables a plan broadcasts: the bound is checked when the query runs.
-    """
-    counted = df.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy()))
-    too_many = F.raise_error(F.lit(f"more than {most} rows in {what}")).cast("boolean")
-    return counted.filter(F.when(F.col("__n") <= most, True).otherwise(too_many)).drop("__n")
-
-
 def left_join_by_entity(
-    fact: DataFrame,
-    profile: DataFrame,
-    key: str,
-    rows: str,
-    rows_per_task: int = 2_000_000,
-    most_heavy: int = 10_000,
+    fact: DataFrame, profile: DataFrame, key: str, rows: str, rows_per_task: int = 2_000_000
 ) -> DataFrame:
     """Left join of ``fact`` with ``profile`` on ``key``; ``profile`` has one row per key.
 
-    ``rows`` is the profile column with the number of fact rows of the key. A key with more than
-    ``rows_per_task`` rows is spread over as many salts as it needs and its profile row repeated as
-    often. Rows with a NULL key match nothing and are spread too.
-
-    The list of heavy keys is the only broadcast hint. It holds at most ``most_heavy`` keys; one
-    that does not fit has less than one part in ``most_heavy`` of all rows. Whether the profile
-    itself is broadcast is left to adaptive execution, which knows its size.
+    ``rows`` is the profile column with the number of fact rows of the key. A key is spread over one
+    salt for each ``rows_per_task`` of its rows, and its profile row repeated as often: the profile is
+    an aggregate by the key, and adaptive execution does not split a join whose side is partitioned
+    by an aggregate. At most one key in ``rows_per_task`` rows needs more than one salt. Rows with a
+    NULL key match nothing and bypass the join.
     """
-    heavy = (
-        profile.filter(F.col(key).isNotNull() & (F.col(rows) > rows_per_task))
-        .orderBy(F.desc(rows), key)
-        .limit(most_heavy)
-    )
-    salts = F.ceil(F.col(rows) / rows_per_task).cast("int").alias("__salts")
-    heavy_keys = F.broadcast(heavy.select(key, salts))
-    null_salts = F.when(F.col(key).isNull(), F.lit(most_heavy))
-    spread = F.pmod(
-        F.xxhash64(*[c for c in fact.columns if c != key]),
-        F.coalesce("__salts", null_salts, F.lit(1)),
-    )
-    left = fact.join(heavy_keys, key, "left").withColumn("__salt", spread.cast("int"))
-    repeats = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
-    right = profile.join(heavy_keys, key, "left").withColumn("__salt", F.explode(repeats))
-    joined = left.drop("__salts").join(right.drop("__salts", rows), [key, "__salt"], "left")
-    return joined.drop("__salt")
+    salts = F.greatest(F.lit(1), F.ceil(F.col(rows) / rows_per_task)).cast("int")
+    salted = profile.filter(F.col(key).isNotNull()).withColumn("__salts", salts)
+    heavy = salted.filter("__salts > 1").select(key, "__salts")
+    others = F.xxhash64(*[c for c in fact.columns if c != key])
+    spread = F.pmod(others, F.coalesce("__salts", F.lit(1))).cast("int")
+    known = fact.filter(F.col(key).isNotNull()).join(heavy, key, "left")
+    left = known.withColumn("__salt", spread).drop("__salts")
+    repeats = F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))
+    right = salted.withColumn("__salt", repeats).drop("__salts", rows)
+    joined = left.join(right, [key, "__salt"], "left").drop("__salt")
+    unknown = fact.filter(F.col(key).isNull())
+    return joined.unionByName(unknown, allowMissingColumns=True)

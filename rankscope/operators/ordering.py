@@ -14,8 +14,50 @@ from pyspark.sql import functions as F
 
 
 def hash_order(keys: Sequence[str], seed: int) -> Column:
-    """A seeded order that depends only on the row's key, equal on every run and layout."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    """A seeded order that depends only on the row's key, equal on every run and layout.
+
+    Each part stands with its length, and a NULL as ``-``, so no two keys look alike.
+    """
+
+    def part(key: str) -> Column:
+        text = F.col(key).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[part(k) for k in keys]))
+
+
+EXACT_BELOW = 64
+BINS_PER_DOUBLING = 64
+KEYS_PER_BIN = 65_536
+
+
+def rank_by_score(
+    df: DataFrame, groups: Sequence[str], score: str, key: str, rank: str
+) -> DataFrame:
+    """Row number per group by falling whole-number ``score``, ties to the smaller number ``key``.
+
+    A group is cut into bins that follow this order: one per small score, further cut by key, since
+    many rows share these, and one per narrow range of larger scores.
+    """
+    s, low = F.col(score), F.col(score) < EXACT_BELOW
+    steps = F.floor(F.log2(F.greatest(s, F.lit(1)).cast("double")) * BINS_PER_DOUBLING)
+    binned = df.withColumns(
+        {
+            "__bin": F.when(low, s).otherwise(steps + EXACT_BELOW).cast("long"),
+            "__part": F.when(low, F.floor(F.col(key) / KEYS_PER_BIN)).otherwise(0).cast("long"),
+        }
+    )
+    bins = [*groups, "__bin", "__part"]
+    counts = binned.groupBy(*bins).agg(F.count("*").alias("__n"))
+    ahead = Window.partitionBy(*groups).orderBy(F.desc("__bin"), "__part")
+    before = F.sum("__n").over(ahead.rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__n")
+    within = Window.partitionBy(*bins).orderBy(F.desc(score), key)
+    return (
+        binned.join(starts, bins)
+        .withColumn(rank, (F.col("__before") + F.row_number().over(within)).cast("int"))
+        .select(*df.columns, rank)
+    )
 
 
 def hash_bin(name: str, digits: int = 3) -> Column:

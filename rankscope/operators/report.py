@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankscope import vocabulary as v
 from rankscope.functions.text import thousands_text
+from rankscope.operators.sampling import COMPLETE
 
 _SCORE_MAP = "map<string,double>"
 DOCUMENT_SCHEMA = f"""
@@ -41,9 +44,7 @@ def sample_summary(sample: DataFrame, folds: DataFrame) -> DataFrame:
     sizes = folds.agg(
         F.count("*").alias("folds"), F.min("count").alias("low"), F.max("count").alias("high")
     )
-    complete = F.lit(True)
-    for name in ("country", "rank", "days_on_chart", "max_days_on_chart"):
-        complete = complete & F.col(name).isNotNull()
+    complete = reduce(and_, [F.col(name).isNotNull() for name in COMPLETE])
     rows = sample.agg(F.count("*").alias("n"), F.count_if(complete).alias("clean"))
     return items(
         rows,

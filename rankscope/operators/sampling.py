@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 from rankscope import vocabulary as v
 from rankscope.functions.aggregates import null_count
 from rankscope.operators.cohort import strata_from_counts
-from rankscope.operators.joins import bounded
 from rankscope.operators.ordering import bin_offsets, hash_bin, hash_order, rank_in_group
 
-KEYS = ("country", "artist_uri", "date")
-MOST_STRATA = 10_000
+#: what tells two chart rows apart
+KEYS = ("country", "artist_uri", "date", "rank", "days_on_chart")
 COMPLETE = (
     "country", "rank", "days_on_chart", "max_days_on_chart", "country_count_by_artist",
     "artist_tenure", "artist_scope", "rank_tier", "partition_id",
@@ -33,8 +32,9 @@ def sample_bernoulli(
     seed: int = v.SEED,
 ) -> DataFrame:
     """Each row kept with its stratum's fraction. Its size varies around the target."""
-    rows = bounded(table, MOST_STRATA, "the strata table").select(stratum, "fraction").collect()
-    return people.sampleBy(stratum, {r[0]: r[1] for r in rows}, seed)
+    fractions = table.select(stratum, F.col("fraction").alias("__fraction"))
+    kept = people.join(fractions, stratum).filter(F.rand(seed) < F.col("__fraction"))
+    return kept.select(*people.columns)
 
 
 def sample_exact(
@@ -61,7 +61,7 @@ def sample_exact(
     # The last bin that still has room before it; a stratum with no quota has none.
     with_room = F.filter("bins", lambda b: b["n_before"] < F.col("n_i"))
     quotas = (
-        bounded(strata_from_counts(per_stratum, target), MOST_STRATA, "the strata table")
+        strata_from_counts(per_stratum, target)
         .withColumn("last", F.array_max(with_room))
         .filter(F.col("last").isNotNull())
         .select(
@@ -72,7 +72,7 @@ def sample_exact(
     )
     row = F.row_number().over(Window.partitionBy(stratum, "__bin").orderBy("__hash"))
     return (
-        hashed.join(F.broadcast(quotas), stratum)
+        hashed.join(quotas, stratum)
         .filter(F.col("__bin") <= F.col("__last_bin"))
         .withColumn("__row", row)
         .filter((F.col("__bin") < F.col("__last_bin")) | (F.col("__row") <= F.col("__room")))
@@ -104,8 +104,14 @@ def complete_rows(sample: DataFrame, columns: Sequence[str] = COMPLETE) -> DataF
 
 
 def with_row_id(sample: DataFrame, keys: Sequence[str] = KEYS, seed: int = v.SEED) -> DataFrame:
-    """``id`` from the natural key: equal on every run, and it shows a repeated key."""
-    return sample.withColumn("id", hash_order(keys, seed))
+    """``id`` from the identifying columns, equal on every run.
+
+    Rows that repeat another in all of them get its id with their number behind it.
+    """
+    hashed = sample.withColumn("__hash", hash_order(keys, seed))
+    repeat = F.row_number().over(Window.partitionBy("__hash").orderBy("__hash"))
+    number = F.when(repeat > 1, F.concat(F.lit("-"), repeat.cast("string"))).otherwise("")
+    return hashed.withColumn("id", F.concat("__hash", number)).drop("__hash")
 
 
 def with_running_id(sample: DataFrame) -> DataFrame:
@@ -121,8 +127,9 @@ def assign_folds(
     seed: int = v.SEED,
     digits: int = 3,
 ) -> DataFrame:
-    """``fold_id`` dealt in turn inside each stratum, along the hash order."""
-    hashed = sample.withColumn("__hash", hash_order(keys, seed))
+    """``fold_id`` dealt in turn inside each stratum, along the ids or else the hash order."""
+    order = F.col("id") if "id" in sample.columns else hash_order(keys, seed)
+    hashed = sample.withColumn("__hash", order)
     ranked = rank_in_group(hashed, stratum, "__hash", "__row", digits)
     fold = ((F.col("__row") - 1) % folds).cast("int")
     return ranked.withColumn("fold_id", fold).drop("__hash", "__row")
@@ -163,6 +170,13 @@ def fold_sizes(sample: DataFrame) -> DataFrame:
     )
 
 
+def split_sizes(sample: DataFrame) -> DataFrame:
+    """Rows that each fold tests on and trains on; the window runs over one row per fold."""
+    whole = F.sum("n_test").over(Window.partitionBy())
+    tested = sample.groupBy("fold_id").agg(F.count("*").alias("n_test"))
+    return tested.withColumn("n_train", whole - F.col("n_test")).orderBy("fold_id")
+
+
 def fold_pivot(
     sample: DataFrame, folds: int = v.FOLDS, stratum: str = "partition_id"
 ) -> DataFrame:

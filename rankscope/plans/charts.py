@@ -1,9 +1,8 @@
 """Chart-shaped tables derived from the order and event tables.
 
-Each table ranks entities per market and period by a whole-number score (ties to the smaller key),
-keeps the first 200, and adds the history of an entity in its market. The cut to 200 is a limit per
-group, which Spark applies in every task before the shuffle, so a market-day of any size is no
-hotspot; after it, a group has at most one row per period.
+Each table ranks all entities per market and period by a whole-number score (ties to the smaller
+key) and adds the history of an entity in its market. Ranks are found through bins of the score, so
+a market-day of any size is no hotspot; in the history, a group has at most one row per period.
 """
 
 from __future__ import annotations
@@ -12,20 +11,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankscope import vocabulary as v
+from rankscope.operators.ordering import rank_by_score
 from rankscope.sources.readers import with_release_lag
 
-DEPTH = 200
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ranked(scores: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``(fecha, pais, key, score)`` rows cut to the best ``depth`` per date and market."""
-    order = Window.partitionBy("fecha", "pais").orderBy(F.desc("score"), "key")
-    best = scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= depth)
-    return best.drop("score")
+def ranked(scores: DataFrame) -> DataFrame:
+    """``(fecha, pais, key, score)`` rows with their rank per date and market."""
+    return rank_by_score(scores, ["fecha", "pais"], "score", "key", "rank").drop("score")
 
 
 def with_history(chart: DataFrame, previous_period: Column, periods: str, streak: str) -> DataFrame:
@@ -66,8 +62,8 @@ def with_history(chart: DataFrame, previous_period: Column, periods: str, streak
     )
 
 
-def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = (
+def _daily_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
         table(spark, sf_dir, "events")
         .groupBy(
             F.col("ts").cast("date").alias("fecha"),
@@ -76,15 +72,33 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(F.sum(F.round(F.col("value") * 100).cast("long")).alias("score"))
     )
+
+
+def _artist() -> dict[str, Column]:
+    return {
+        "artist_uri": F.format_string("artist:%d", "key"),
+        "artist_name": F.format_string("Artist %d", "key"),
+    }
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = with_history(
-        ranked(scores), F.date_sub("fecha", 1), "days_on_chart", "consecutive_days"
-    )
-    return history.withColumns(
-        {
-            "artist_uri": F.format_string("artist:%d", "key"),
-            "artist_name": F.format_string("Artist %d", "key"),
-        }
+        ranked(_daily_scores(spark, sf_dir)),
+        F.date_sub("fecha", 1),
+        "days_on_chart",
+        "consecutive_days",
     )
+    return history.withColumns(_artist())
+
+
+def daily_best(spark: SparkSession, sf_dir: str, ranks: int) -> DataFrame:
+    """The best ``ranks`` of each day and market, without history.
+
+    For questions about the first places only: each task cuts to them before the shuffle.
+    """
+    order = Window.partitionBy("fecha", "pais").orderBy(F.desc("score"), "key")
+    placed = _daily_scores(spark, sf_dir).withColumn("rank", F.row_number().over(order))
+    return placed.filter(F.col("rank") <= ranks).withColumns(_artist()).drop("key", "score")
 
 
 def daily_chart(spark: SparkSession, sf_dir: str) -> DataFrame:

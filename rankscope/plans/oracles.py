@@ -5,9 +5,6 @@ Used only to check results: fitted models and sketches have no entry.
 
 from __future__ import annotations
 
-DEPTH = 200
-
-
 def _history(scores: str, previous: str, periods: str, streak: str, name: str) -> str:
     """Common table expressions up to ``<name>_hist``: ranks and history of ``scores``."""
     window = "partition by pais, key order by fecha"
@@ -18,8 +15,7 @@ def _history(scores: str, previous: str, periods: str, streak: str, name: str) -
   select fecha, pais, key, rank from (
     select fecha, pais, key,
            row_number() over (partition by fecha, pais order by score desc, key) as rank
-    from {name}_scores) s
-  where rank <= {DEPTH}),
+    from {name}_scores) s),
 {name}_dated as (
   select fecha, pais, key, rank,
          row_number() over ({window}) as {periods},
@@ -160,13 +156,21 @@ profile as (
          case when count(distinct country) > 16 then 'Global' else 'Local' end as artist_scope
   from monthly where country <> 'NATION_7' group by artist_uri)"""
 
-PEOPLE = PROFILE + """,
+_IDENTITY = ("country", "m.artist_uri", "cast(date as varchar)", "rank", "m.days_on_chart")
+
+
+def _keyed(value: str) -> str:
+    """A value as its length and its text, ``-`` where it is NULL."""
+    return f"coalesce(length({value}::varchar) || ':' || {value}::varchar, '-')"
+
+
+PEOPLE = PROFILE + f""",
 people as (
   select m.*, country_count_by_artist, max_days_on_chart, artist_tenure, artist_scope,
          case when rank <= 8 then 'Top' else 'Estable' end as rank_tier,
          artist_tenure || '-' || artist_scope || '-'
            || case when rank <= 8 then 'Top' else 'Estable' end as partition_id,
-         md5('42|' || country || '|' || m.artist_uri || '|' || cast(date as varchar)) as id
+         md5('42|' || {" || '|' || ".join(_keyed(c) for c in _IDENTITY)}) as id
   from monthly m left join profile p on p.artist_uri = m.artist_uri
   where country <> 'NATION_7' and date >= date '1996-01-01'),
 counted as (
@@ -623,6 +627,22 @@ ORACLES: dict[str, str] = {
         for c, t in _LINE_TYPES.items()
         if t in ("bigint", "int", "double")
     ),
+    "numeric_quartiles": " union all ".join(
+        f"""select '{c}' as column_name, round(quantile_disc({c}::double, 0.25), 6) as q25,
+        round(quantile_disc({c}::double, 0.5), 6) as q50,
+        round(quantile_disc({c}::double, 0.75), 6) as q75 from lineitem"""
+        for c, t in _LINE_TYPES.items()
+        if t in ("bigint", "int", "double")
+    ),
+    "split_sizes": f"""with {FOLDED}
+        select fold_id, count(*) as n_test, (select count(*) from folded) - count(*) as n_train
+        from folded group by fold_id""",
+    "cluster_totals": f"""with {FOLDED}
+        select cast(count(*) as bigint) as rows, 100.0::double as pct from folded""",
+    "cluster_strata": f"""with {FOLDED}
+        select s.partition_id, count(f.partition_id) as rows
+        from (values {", ".join(f"('{s}')" for s in _STRATA)}) s(partition_id)
+        left join folded f on f.partition_id = s.partition_id group by 1""",
     "duplicates": """select count(*) as duplicate_count from (
         select l_orderkey, l_linenumber from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1) d""",
@@ -722,7 +742,14 @@ ORACLES: dict[str, str] = {
         union all select 'clean_rows', format('{{:,}}', rows_) from n
         union all select 'folds', cast(count(*) as varchar) from sizes
         union all select 'smallest_fold', format('{{:,}}', min(n)) from sizes
-        union all select 'largest_fold', format('{{:,}}', max(n)) from sizes""",
+        union all select 'largest_fold', format('{{:,}}', max(n)) from sizes
+        union all (with {METRICS},{_long("metrics", "long")}
+          select metric || '_mean', printf('%.4f', avg(value)) from long
+            where metric in ('auc_roc', 'f1_weighted') group by metric
+          union all select metric || '_std', printf('%.4f', stddev_samp(value)) from long
+            where metric in ('auc_roc', 'f1_weighted') group by metric
+          union all (select 'best_fold', cast(fold_id as varchar) from metrics
+            order by auc_roc desc, f1_weighted desc, fold_id limit 1))""",
     "composition": f"""with {PEOPLE}
         select country, {", ".join(
             f"round(count(*) filter (where partition_id = '{s}') / count(*) * 100, 6) as \"{s}\""
@@ -732,11 +759,13 @@ ORACLES: dict[str, str] = {
     "confusion_total": f"""with {CONFUSION}
         select label, prediction, cast(sum("count") as bigint) as "count"
         from confusion group by label, prediction""",
-    "confusion_matrix": f"""with {PREDICTIONS}
+    "confusion_matrix": f"""with {METRICS}
         select case label when 0 then 'low' else 'high' end as class,
                count(*) filter (where prediction = 0) as low,
                count(*) filter (where prediction = 1) as high
-        from predictions where fold_id = 3 group by 1""",
+        from predictions
+        where fold_id = (select fold_id from metrics
+          order by auc_roc desc, f1_weighted desc, fold_id limit 1) group by 1""",
     "per_class": f"""with {CONFUSION},{_class_scores("", "confusion")}
         select class_label as label, case class_label when 0 then 'low' else 'high' end as class,
                cast(support as bigint) as support, round(p, 6) as precision, round(r, 6) as recall,

@@ -21,6 +21,7 @@ from pyspark.sql.types import (
 )
 
 from rankscope import vocabulary as v
+from rankscope.functions.banding import all_strata
 from rankscope.functions.parsing import safe_date, safe_int
 from rankscope.operators import cohort, evaluation, facts, forest, leadership, profiling, releases
 from rankscope.operators import report, roc, sampling, segments, turnover
@@ -32,7 +33,7 @@ from rankscope.plans.studies import (
     study_population,
     study_sample,
 )
-from rankscope.session import cut_lineage, kept
+from rankscope.session import kept
 from rankscope.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,12 +49,7 @@ SETTINGS = StudySettings(
 REACH = {"min_days": 2, "local_until": 1, "global_from": 2}
 MARKET_ROWS = 200
 CLASSES = {0.0: "low", 1.0: "high"}
-STRATA = tuple(
-    f"{tenure}-{scope}-{tier}"
-    for tenure in (v.NEWCOMER, v.VETERAN)
-    for scope in (v.GLOBAL, v.LOCAL)
-    for tier in (v.STABLE, v.TOP)
-)
+STRATA = tuple(all_strata())
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -88,7 +84,7 @@ def presented(df: DataFrame) -> DataFrame:
 
 @query
 def leaders(spark, sf_dir):
-    return leadership.leaders(charts.daily_chart(spark, sf_dir))
+    return leadership.leaders(charts.daily_best(spark, sf_dir, 1))
 
 
 @query
@@ -293,6 +289,11 @@ def numeric_summary(spark, sf_dir):
     return profiling.numeric_summary(charts.table(spark, sf_dir, "lineitem"))
 
 
+@query
+def numeric_quartiles(spark, sf_dir):
+    return profiling.exact_quartiles(charts.table(spark, sf_dir, "lineitem"))
+
+
 @query
 def duplicates(spark, sf_dir):
     lines = charts.table(spark, sf_dir, "lineitem")
@@ -314,11 +315,6 @@ def _with_folds(spark, sf_dir):
     return study_folds(_drawn(spark, sf_dir), SETTINGS)
 
 
-def _stored_sample(spark, sf_dir):
-    """The sample for operators that read it many times."""
-    return cut_lineage(_with_folds(spark, sf_dir))
-
-
 @query
 def population_audit(spark, sf_dir):
     return profiling.population_audit(charts.monthly_chart(spark, sf_dir))
@@ -381,6 +377,11 @@ def fold_sizes(spark, sf_dir):
     return sampling.fold_sizes(_with_folds(spark, sf_dir))
 
 
+@query
+def split_sizes(spark, sf_dir):
+    return sampling.split_sizes(_with_folds(spark, sf_dir))
+
+
 @query
 def fold_pivot(spark, sf_dir):
     return sampling.fold_pivot(_with_folds(spark, sf_dir))
@@ -404,20 +405,25 @@ def class_weights(spark, sf_dir):
 
 @query
 def label_index(spark, sf_dir):
-    _, model = forest.add_features(_stored_sample(spark, sf_dir))
+    with kept(_with_folds(spark, sf_dir)) as sample:
+        _, model = forest.add_features(sample)
     return forest.category_index(model, spark)
 
 
 @query
 def scaled(spark, sf_dir):
-    rows, _ = segments.scale(_stored_sample(spark, sf_dir))
+    rows, _ = segments.scale(_with_folds(spark, sf_dir))
     return segments.scaled_columns(rows, ["id"])
 
 
 @query
 def run_summary(spark, sf_dir):
+    """Sample and folds of the study, then the fixed classifier's scores."""
     sample = _with_folds(spark, sf_dir)
-    return report.sample_summary(_drawn(spark, sf_dir), sampling.fold_sizes(sample))
+    of_sample = report.sample_summary(_drawn(spark, sf_dir), sampling.fold_sizes(sample))
+    return of_sample.unionByName(
+        report.model_summary(metrics_summary(spark, sf_dir), best_fold(spark, sf_dir))
+    )
 
 
 @query
@@ -441,7 +447,9 @@ def confusion_total(spark, sf_dir):
 
 @query
 def confusion_matrix(spark, sf_dir):
-    return evaluation.confusion_matrix(confusion(spark, sf_dir), 3, CLASSES)
+    """Of the fold that scores best."""
+    fold = best_fold(spark, sf_dir).first()["fold_id"]
+    return evaluation.confusion_matrix(confusion(spark, sf_dir), fold, CLASSES)
 
 
 @query
@@ -505,12 +513,18 @@ def best_fold(spark, sf_dir):
 
 
 def _cross_validated(spark, sf_dir, result):
-    featured, model = forest.add_features(_stored_sample(spark, sf_dir))
-    forest.check_bins(model)
-    with kept(featured) as features:
-        cv = forest.cross_validate(features, 20, 6)
-        table = small(result(cv, features))
-        cv.release()
+    """``result`` of a cross validation at the setting that tuning on fold 0 selects."""
+    with kept(_with_folds(spark, sf_dir)) as sample:
+        featured, model = forest.add_features(sample)
+        forest.check_bins(model)
+        positive = forest.positive_label(forest.label_names(model))
+        with kept(featured) as features:
+            chosen = forest.tune(features, SETTINGS.grid, positive=positive).first()
+            cv = forest.cross_validate(
+                features, chosen["numTrees"], chosen["maxDepth"], positive=positive
+            )
+            table = small(result(cv, features))
+            cv.release()
     return table
 
 
@@ -535,21 +549,28 @@ def importance(spark, sf_dir):
 
 @query
 def tuning(spark, sf_dir):
-    featured, _ = forest.add_features(_stored_sample(spark, sf_dir))
-    with kept(featured) as features:
-        return forest.tune(features, ((10, 4), (20, 4), (10, 6), (20, 6)))
+    with kept(_with_folds(spark, sf_dir)) as sample:
+        featured, model = forest.add_features(sample)
+        positive = forest.positive_label(forest.label_names(model))
+        with kept(featured) as features:
+            return forest.tune(features, SETTINGS.grid, positive=positive)
+
+
+def _scaled_rows(spark, sf_dir, result):
+    with kept(_with_folds(spark, sf_dir)) as sample:
+        scaled_rows, scaler = segments.scale(sample)
+        columns = [segments.SCALED, "partition_id", *v.CLUSTER_FEATURES]
+        with kept(scaled_rows.select(*columns)) as rows:
+            return small(result(rows, scaler))
 
 
 def _clustered(spark, sf_dir, result):
-    scaled_rows, scaler = segments.scale(_stored_sample(spark, sf_dir))
-    columns = [segments.SCALED, "partition_id", *v.CLUSTER_FEATURES]
-    with kept(scaled_rows.select(*columns)) as rows:
-        return small(result(segments.cluster(rows, scaler)))
+    return _scaled_rows(spark, sf_dir, lambda rows, scaler: result(segments.cluster(rows, scaler)))
 
 
 @query
 def kmeans_sweep(spark, sf_dir):
-    return _clustered(spark, sf_dir, lambda c: c.sweep)
+    return _scaled_rows(spark, sf_dir, lambda rows, _: segments.sweep(rows))
 
 
 @query
@@ -562,3 +583,22 @@ def cluster_composition(spark, sf_dir):
     return _clustered(
         spark, sf_dir, lambda c: segments.composition(c.clustered, STRATA, percent=True)
     )
+
+
+@query
+def cluster_totals(spark, sf_dir):
+    """Rows and percent over all clusters of the fit."""
+    totals = [F.sum("count").alias("rows"), F.sum("pct").alias("pct")]
+    return _clustered(spark, sf_dir, lambda c: c.sizes.agg(*totals))
+
+
+@query
+def cluster_strata(spark, sf_dir):
+    """Rows per stratum over all clusters of the fit."""
+
+    def totals(fitted):
+        cells = segments.composition(fitted.clustered, STRATA)
+        rows = cells.unpivot(["prediction"], [f"`{s}`" for s in STRATA], "partition_id", "n")
+        return rows.groupBy("partition_id").agg(F.sum("n").alias("rows"))
+
+    return _clustered(spark, sf_dir, totals)

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankscope import vocabulary as v
+from rankscope.functions.banding import all_strata
 from rankscope.operators import cohort, evaluation, facts, forest, leadership, profiling
 from rankscope.operators import releases, report, sampling, segments, turnover
-from rankscope.session import cut_lineage, kept
+from rankscope.session import kept
 from rankscope.sources import readers, registry, sinks
 
 
@@ -151,13 +152,18 @@ def small(df: DataFrame) -> DataFrame:
 def run_study(chart: DataFrame, settings: StudySettings | None = None) -> Study:
     """Population, sample, folds, forest, baseline and clusters, from the six study columns.
 
-    Population, sample and predictions are read many times. They are written to the cluster's
-    checkpoint folder, or persisted where it names none, so that no later plan holds their history.
+    Population, sample and predictions are read many times, so they are persisted while it runs.
+    Their lineage stays: what is lost with an executor is computed again.
     """
     s = settings or StudySettings()
-    people = cut_lineage(study_population(chart, s))
-    drawn = cut_lineage(study_sample(people, s))
-    sample = cut_lineage(study_folds(drawn, s))
+    with kept(study_population(chart, s)) as people, kept(study_sample(people, s)) as drawn:
+        with kept(study_folds(drawn, s)) as sample:
+            return _study(chart, people, drawn, sample, s)
+
+
+def _study(
+    chart: DataFrame, people: DataFrame, drawn: DataFrame, sample: DataFrame, s: StudySettings
+) -> Study:
     strata = small(cohort.strata(people, s.target))
     compared = small(sampling.compare_strata(strata, drawn))
     sizes = small(sampling.fold_sizes(sample))
@@ -195,13 +201,12 @@ def run_study(chart: DataFrame, settings: StudySettings | None = None) -> Study:
     columns = [segments.SCALED, "partition_id", *v.CLUSTER_FEATURES]
     with kept(scaled.select(*columns)) as scaled_rows:
         clusters = segments.cluster(scaled_rows, scaler, s.cluster_counts, seed=s.seed)
-        strata_names = [r[0] for r in strata.select("partition_id").collect()]
         tables |= {
             "kmeans": clusters.sweep,
             "cluster_sizes": small(clusters.sizes),
             "centroids": small(clusters.centroids),
             "cluster_composition": small(
-                segments.composition(clusters.clustered, strata_names, percent=True)
+                segments.composition(clusters.clustered, all_strata(), percent=True)
             ),
         }
     checks = sampling.sample_checks(compared, drawn, s.target, s.expected_strata)
@@ -219,6 +224,4 @@ def run_study(chart: DataFrame, settings: StudySettings | None = None) -> Study:
         excluded=s.excluded,
         start=s.start,
     )
-    for stored in (people, drawn, sample):
-        stored.unpersist()
     return Study(document, tables)

@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
-from uuid import uuid4
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -44,23 +43,6 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def cut_lineage(df: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write ``df`` once to the cluster's checkpoint folder and read it back; else persist it.
-
-    For intermediates that are read several times and costly to rebuild. The folder is that of
-    ``spark.checkpoint.dir``, which must be shared storage, so none is made up here. A parquet table
-    lets each later pass read only its own columns.
-    """
-    spark = df.sparkSession
-    if folder is None:
-        folder = spark.conf.get("spark.checkpoint.dir", "")
-    if not folder:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{folder.rstrip('/')}/rankscope-{uuid4()}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def side_by_side(
     spark: SparkSession,
     function: Callable[[Item], Result],

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rankscope.functions.banding import all_strata
+
 # Column types of the result tables, for reading them back without inference.
 _SCORES = (
     "accuracy double, f1_weighted double, precision_weighted double, "
@@ -31,6 +33,7 @@ RESULT_SCHEMAS = {
     "cluster_sizes": "prediction int, count long, pct double",
     "centroids": "cluster int, days_on_chart double, max_days_on_chart double, "
     "country_count_by_artist double, rank double, count long, pct double",
+    "cluster_composition": "prediction int, " + ", ".join(f"`{s}` double" for s in all_strata()),
 }
 
 
@@ -62,7 +65,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A result table with its column types. Columns are found by name, in whatever order."""
     text = spark.read.option("header", True).csv(f"{folder.rstrip('/')}/{name}")
     columns = StructType.fromDDL(RESULT_SCHEMAS[name])
-    return text.select(*[F.col(c.name).cast(c.dataType) for c in columns])
+    return text.select(*[F.col(f"`{c.name}`").cast(c.dataType) for c in columns])
 
 
 def write_document(df: DataFrame, path: str) -> None:
