@@ -25,10 +25,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from rankscope.llm.common import slices
+
 NO_PAIR = np.int32(2**31 - 1)
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 20, 24, 32, 48, 64, 96, 128, 192, 256, 512, 1024)
 CELLS = 1 << 18
-REMEMBERED = 800_000
+REMEMBERED = 250_000
+#: characters of texts that are encoded in one go
+TOGETHER = 3_000_000
 BLANK_AFTER_SPACE = re.compile(r" (?:\s|$)").search
 
 
@@ -274,6 +278,15 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's ids begin (one more at the end)."""
+        parts, sizes = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+        for part in slices(texts, TOGETHER):
+            ids, counts = self._encode_some(texts[part])
+            parts.append(ids)
+            sizes.append(counts)
+        return np.concatenate(parts), np.cumsum(np.concatenate(sizes))
+
+    def _encode_some(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and how many each text has."""
         if len(self.words) > REMEMBERED:
             self._forget()
         words, pieces = len(self.words), len(self.pieces)
@@ -286,7 +299,7 @@ class Encoder:
             ids, sizes = self.piece_ids.take(parts)
             self.word_ids.add(ids, _totals(sizes, parts_in))
         ids, sizes = self.word_ids.take(used)
-        return ids, np.concatenate([[0], np.cumsum(_totals(sizes, words_in))])
+        return ids, _totals(sizes, words_in)
 
 
 def decode_ids(path: str, ids: np.ndarray) -> bytes:

@@ -24,7 +24,9 @@ def _local_folder() -> str:
 def store(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the folder in ``spark.checkpoint.dir`` and read it back.
 
-    Later steps read the files, so a lost executor costs none of the work before this point. Only
+    Later steps read the files, so a lost executor costs none of the work before this point. A grouped
+    table that is stored before it joins the rows of its keys also lets adaptive execution split the
+    join of a hot key, which it does not do where a side is still partitioned by the grouping. Only
     where that setting is absent, as in tests on one machine, is a temporary folder made.
     """
     spark = df.sparkSession
@@ -44,6 +46,18 @@ def strings(batch: pa.RecordBatch, name: str) -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def slices(texts: list[str | None], chars: int) -> Iterator[slice]:
+    """Consecutive slices of about ``chars`` characters, one text at least."""
+    start = total = 0
+    for i, text in enumerate(texts):
+        if total >= chars:
+            yield slice(start, i)
+            start, total = i, 0
+        total += len(text or "")
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Consecutive rows with equal ``keys``, one table each; the input is sorted by them.
 

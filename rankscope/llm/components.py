@@ -18,12 +18,12 @@ def _toward(edges: DataFrame, larger: bool) -> DataFrame:
     """
     if larger:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        lowest = store(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
         # the rows (a, b) with b > a are the turned edges
         turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
         moved = turned.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        lowest = edges.groupBy("a").agg(F.min("b").alias("m"))
+        lowest = store(edges.groupBy("a").agg(F.min("b").alias("m")))
         moved = edges.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         moved = moved.unionByName(lowest.select("a", F.col("m").alias("b")))
     return moved.filter("a > b").distinct()

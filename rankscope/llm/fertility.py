@@ -22,10 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rankscope.llm.common import strings
+from rankscope.llm.common import slices, strings
 
 WINDOW = 5
-REMEMBERED = 700_000
+REMEMBERED = 250_000
+#: characters of texts that are measured in one go
+TOGETHER = 3_000_000
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
 SCRIPTS = ("LATIN", "CYRILLIC", "GREEK", "ARABIC", "HEBREW", "DEVANAGARI", "CJK", "HIRAGANA", "HANGUL")
@@ -195,6 +197,24 @@ def outside(band: Band, chars: float, byte_chars: float, byte_share: float, entr
     return found
 
 
+def _row(meter: Meter, text: str, raw: bytes, words: np.ndarray, language: str | None) -> tuple:
+    """The values of one text, in the order of ``SCHEMA``."""
+    n, repeats = len(words), repeated_words(words)
+    chars = len(text) - (len(raw) - len(raw.translate(None, BLANKS)))
+    symbols = len(raw) - len(raw.translate(None, SYMBOLS))
+    failed = n < 10 or 100 * repeats > 20 * n
+    tokens, others, single, entropy = meter.measure(words)
+    per, byte_per, share = (
+        (chars / tokens, chars / max(1, others), single / tokens) if tokens else (0.0, 0.0, 0.0)
+    )
+    script = language if language in BANDS else script_of(text)
+    reasons = outside(BANDS.get(script, BANDS["OTHER"]), per, byte_per, share, entropy, tokens)
+    return (
+        n, chars, symbols, repeated_lines(text), repeats, failed, not failed and not reasons,
+        tokens, per, byte_per, share, entropy, script, ",".join(reasons),
+    )
+
+
 def judge(
     docs: DataFrame, piece_path: str, rank_path: str, pattern: str,
     key: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -210,28 +230,12 @@ def judge(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         meter = Meter(piece_path, rank_path, pattern)
         for batch in batches:
-            texts = strings(batch, "text")
-            raw = [t.encode("utf-8", "surrogatepass") for t in texts]
             rows = []
-            languages = batch.column("lang").to_pylist()
-            for t, b, words, language in zip(texts, raw, meter.numbers(raw), languages, strict=True):
-                n = len(words)
-                blanks = len(b) - len(b.translate(None, BLANKS))
-                chars = len(t) - blanks
-                repeats = repeated_words(words)
-                failed = n < 10 or 100 * repeats > 20 * n
-                tokens, others, single, entropy = meter.measure(words)
-                script = language if language in BANDS else script_of(t)
-                per, byte_per, share = (
-                    (chars / tokens, chars / max(1, others), single / tokens) if tokens else (0.0, 0.0, 0.0)
-                )
-                band = BANDS.get(script, BANDS["OTHER"])
-                reasons = outside(band, per, byte_per, share, entropy, tokens)
-                symbols = len(b) - len(b.translate(None, SYMBOLS))
-                rows.append((
-                    n, chars, symbols, repeated_lines(t), repeats, failed, not failed and not reasons,
-                    tokens, per, byte_per, share, entropy, script, ",".join(reasons),
-                ))
+            texts, languages = strings(batch, "text"), batch.column("lang").to_pylist()
+            for part in slices(texts, TOGETHER):
+                raw = [t.encode("utf-8", "surrogatepass") for t in texts[part]]
+                each = zip(texts[part], raw, meter.numbers(raw), languages[part], strict=True)
+                rows += [_row(meter, *one) for one in each]
             columns = [pa.array(c) for c in zip(*rows, strict=True)] if rows else []
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column("key"), *columns], names)

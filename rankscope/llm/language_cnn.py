@@ -20,12 +20,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankscope.llm.common import slices
+
 WINDOW = 256
 EMBED = 8
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 WIDEST = max(WIDTHS)
 CHUNK = 64
+#: characters of texts that are scored in one go
+TOGETHER = 2_000_000
 
 _LETTER = re.compile(r"[^\W\d_]").search
 
@@ -192,28 +196,22 @@ def fit(
 
 def predict_texts(net: Network | None, texts: list[str | None]) -> list[tuple[str, float]]:
     """Language and score of whole texts."""
-    raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
     live = [i for i, t in enumerate(texts) if t and _LETTER(t)] if net else []
     out = [("und", 0.0)] * len(texts)
-    start = 0
-    while start < len(live):
-        stop, size = start, 0
-        while stop < len(live) and (size < 4_000_000 or stop == start):
-            size += len(raw[live[stop]])
-            stop += 1
-        group = live[start:stop]
-        windows = [to_windows(raw[i]) for i in group]
+    for part in slices([texts[i] for i in live], TOGETHER):
+        group = live[part]
+        raw = [texts[i].encode("utf-8", "surrogatepass") for i in group]
+        windows = [to_windows(r) for r in raw]
         shares = net.shares(np.concatenate(windows)).astype(np.float64)
         counts = np.array([len(w) for w in windows])
         ends = np.cumsum(counts)
         weight = np.full(ends[-1], float(WINDOW))
-        sizes = np.array([len(raw[i]) for i in group])
+        sizes = np.array([len(r) for r in raw])
         weight[ends - 1] = sizes - (counts - 1) * WINDOW
         means = np.add.reduceat(shares * weight[:, None], ends - counts) / sizes[:, None]
         for i, row in zip(group, means, strict=True):
             best = int(row.argmax())
             out[i] = (net.labels[best], min(1.0, max(0.0, float(row[best]))))
-        start = stop
     return out
 
 

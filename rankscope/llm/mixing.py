@@ -20,10 +20,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankscope.llm.common import hex_number
+from rankscope.llm.common import hex_number, store
 
 LEVELS = ("domain", "lang", "source")
 ROWS_PER_BIN = 4096
+#: leaves (narrow rows) that may be broadcast
+BROADCAST_LEAVES = 100_000
 ORDER_HEX = 13
 WIDE = "decimal(38,0)"
 
@@ -129,7 +131,9 @@ def select(
     total = F.floor(F.col("all_room") * F.lit(share) / epochs).cast("long")
     given = budgets(leaves, total, weights).join(leaves, list(LEVELS))
     # each leaf's row order is cut into bins of a few thousand rows
-    given = given.withColumn("bins", F.ceil(F.col("n_rows") / ROWS_PER_BIN).cast("long"))
+    given = store(given.withColumn("bins", F.ceil(F.col("n_rows") / ROWS_PER_BIN).cast("long")))
+    if given.count() <= BROADCAST_LEAVES:
+        given = F.broadcast(given)
     rounds = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
     ranked = rows.select("*", rounds.alias("epoch")).withColumn(
         "place",

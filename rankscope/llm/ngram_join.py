@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankscope.llm.common import store, strings
+from rankscope.llm.common import slices, store, strings
 from rankscope.llm.components import components
 
 WORDS = 5
@@ -48,7 +48,9 @@ CELL_BITS = 20
 CHUNK = 4096
 BINS, BANDS = 24, 8
 FIRST_BITS = 24
-REMEMBERED = 700_000
+REMEMBERED = 250_000
+#: characters of texts that are cut in one go
+TOGETHER = 3_000_000
 MOST_SUBSETS = 4096
 SMALL = 24
 #: rows of two longs that may be broadcast: 16 MB
@@ -96,6 +98,9 @@ class Shingler:
         self.words, self.hashes = _Words(), np.empty(0, np.uint64)
 
     def sets(self, texts: list[str]) -> list[np.ndarray]:
+        return [s for part in slices(texts, TOGETHER) for s in self._some(texts[part])]
+
+    def _some(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.words.order) > REMEMBERED:
             self._forget()
         number = self.words.__getitem__
@@ -249,7 +254,7 @@ def _entries(docs: DataFrame, cells: np.ndarray, limit: int) -> DataFrame:
                 if mark in seen:
                     rows.append((doc_id, n, mark, None, None, None, None, None))
                     continue
-                if len(seen) < REMEMBERED:
+                if len(seen) < 4 * REMEMBERED:
                     seen.add(mark)
                 counts = order.cells[_cells(s)]
                 subsets = sides = firsts = None
@@ -286,6 +291,7 @@ def _subset_links(entries: DataFrame) -> DataFrame:
         F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
         F.min("side").alias("low"), F.max("side").alias("high"),
     ).filter("least <> most and (low <> high or low = 2)")
+    met = store(met.select("key", "least"))
     return keyed.join(met, "key").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).filter("a <> b")
 
 
@@ -295,7 +301,7 @@ def _central_pairs(entries: DataFrame) -> DataFrame:
     middle = banded.groupBy("band").agg(
         F.max(F.struct("centre", "doc_id", "n")).alias("mid"), F.count("*").alias("members")
     ).filter("members > 1")
-    pairs = banded.join(middle, "band").select(
+    pairs = banded.join(store(middle), "band").select(
         F.col("mid.doc_id").alias("p"), F.col("doc_id").alias("d"), F.col("mid.n").alias("pn"), "n"
     )
     pairs = pairs.filter("p <> d and 4 * least(pn, n) >= 3 * greatest(pn, n)")
@@ -315,7 +321,7 @@ def _listed_pairs(entries: DataFrame, classes: DataFrame, limit: int) -> DataFra
     rows = store(lists.join(mixed, "shingle", "left_semi"))
     per_class = rows.groupBy("shingle", "c").agg(F.count("*").alias("k"))
     main = per_class.groupBy("shingle").agg(F.max(F.struct("k", "c"))["c"].alias("main"))
-    left = rows.join(main, "shingle").filter("c <> main").select(
+    left = rows.join(store(main), "shingle").filter("c <> main").select(
         "shingle", "main", *[F.col(x).alias(f"{x}1") for x in ("doc_id", "n", "c", "place")]
     )
     met = left.join(rows, "shingle").filter(
@@ -355,7 +361,7 @@ def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     sets = store(docs.join(named, "doc_id", "left_semi").mapInArrow(make, "doc_id long, shingles binary"))
     spread = pairs.groupBy("p").agg(F.ceil(F.count("*") / CHECKED_TOGETHER).cast("int").alias("runs"))
-    cut = pairs.join(spread, "p").select(
+    cut = pairs.join(store(spread), "p").select(
         "p", "d", F.pmod(F.xxhash64("d"), F.col("runs")).cast("int").alias("run")
     )
     cut = store(cut)
@@ -397,7 +403,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     limit = boundary(cells, sizes)
     entries = store(_entries(source, cells, limit))
     marked = entries.filter("mark is not null").select("doc_id", "mark")
-    firsts = marked.groupBy("mark").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).filter("b <> most")
+    firsts = marked.groupBy("mark").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most"))
+    firsts = store(firsts.filter("b <> most"))
     equal = marked.join(firsts, "mark").select(F.col("doc_id").alias("a"), "b").filter("a <> b")
     early = store(
         equal.unionByName(_subset_links(entries)).unionByName(_checked(source, _central_pairs(entries)))

@@ -172,7 +172,8 @@ def near_vectors(
     hashed = store(_bucketed(sized, plan))
     met = hashed.select("id", F.posexplode("buckets").alias("t", "bucket"))
     full = met.groupBy("t", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    full = full.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n")
+    full = full.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    full = store(full.drop("n"))
     placed = met.join(full, ["t", "bucket"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = placed.select("id", "t", "bucket", "block", other)
@@ -189,7 +190,7 @@ def near_vectors(
     grouped = grouped.withColumn("component", F.coalesce("component", "class"))
     lowest = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     answers = grouped.join(lowest, "component").select("mark", "weight", "others", "component_id")
-    joined = members.join(answers, "mark", "left")
+    joined = members.join(store(answers), "mark", "left")
     component = F.coalesce("component_id", "id")
     return joined.select(
         F.col("id").alias(key),

@@ -49,7 +49,7 @@ def propagate(
     all_weight = nodes.agg(F.sum("weight")).first()[0] or 0
     quota = (1 + slack) * all_weight / shards
     for turn in range(rounds):
-        tallies = _tallies(links, labels, shards)
+        tallies = store(_tallies(links, labels, shards))
         seen = links.join(tallies, "link")
         votes = seen.groupBy("node").agg(
             *[F.sum(F.col("tally")[s]).alias(f"v{s}") for s in range(shards)], F.min("link").alias("first_link")
@@ -132,7 +132,7 @@ def shard_texts(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str
         F.count("*").alias("weight"), F.first("size").alias("size"), F.first("text_crc32").alias("text_crc32")
     )
     nodes = store(nodes.withColumn("node", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "link"))))
-    groups = nodes.groupBy("link").agg(F.sum("weight").alias("link_weight"), F.count("*").alias("k"))
+    groups = store(nodes.groupBy("link").agg(F.sum("weight").alias("link_weight"), F.count("*").alias("k")))
     known = store(nodes.join(groups, "link"))
     links = store(known.filter("k > 1").select("node", "link"))
     shard = propagate(nodes.select("node", "weight"), links, shards)
