@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,10 +27,10 @@ LEAST_SHARE = 0.35
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without letters or without a likely language; fills a missing language."""
     said = language_cnn.language(language_network(docs), F.col("text"))
-    rows = docs.select(F.struct("*").alias("row"), said.alias("said"))
-    kept = rows.filter((F.col("said.lang_pred") != "und") & (F.col("said.score") >= LEAST_SHARE))
-    lang = F.coalesce("row.lang", "said.lang_pred").alias("lang")
-    return kept.select(*[lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
+    name = f"said_{uuid4().hex}"  # no column of the documents
+    rows = docs.withColumn(name, said)
+    kept = rows.filter((F.col(name).lang_pred != "und") & (F.col(name).score >= LEAST_SHARE))
+    return kept.withColumn("lang", F.coalesce("lang", F.col(name).lang_pred)).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
