@@ -373,13 +373,16 @@ def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head: list[np.ndarray] = []
+        current = None
         for batch in batches:
             found = []
-            columns = (batch.column(c).to_pylist() for c in ("p", "doc_id", "shingles", "tail"))
-            for p, d, raw, tail in zip(*columns, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("p", "run", "doc_id", "shingles", "tail"))
+            for p, run, d, raw, tail in zip(*columns, strict=True):
                 own = np.frombuffer(raw, np.uint64)
                 if not tail:
-                    head = [own]
+                    if current != (p, run):
+                        head, current = [], (p, run)
+                    head.append(own)  # one, or one for each text of a repeated id
                     continue
                 for other in head:
                     small, large = (own, other) if len(own) < len(other) else (other, own)

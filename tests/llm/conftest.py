@@ -4,13 +4,12 @@ import os
 from pathlib import Path
 
 import pytest
+from tables import TINY
 
 REPO = Path(__file__).resolve().parents[2]
 # workers of a local session import the package by this path
 os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (str(REPO), os.environ.get("PYTHONPATH")) if x)
 
-TINY = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def tiny_docs(spark):

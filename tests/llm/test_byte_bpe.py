@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 import tiktoken
-from conftest import TINY
+from tables import TINY
 
 from rankscope.llm import byte_bpe
 from rankscope.llm.queries import PATTERN, RANKS, bpe_digests

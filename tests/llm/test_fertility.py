@@ -3,7 +3,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-from conftest import TINY
+from tables import TINY
 
 from rankscope.llm import fertility
 from rankscope.llm.queries import PATTERN, PIECES, RANKS, fertility_rules

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import re
 
-from conftest import TINY
+from tables import TINY
 
 from rankscope.llm import license_rules
 from rankscope.llm.queries import license_scan

@@ -3,7 +3,7 @@ from __future__ import annotations
 import html
 import re
 
-from conftest import TINY
+from tables import TINY
 
 from rankscope.llm import main_content
 from rankscope.llm.queries import main_text

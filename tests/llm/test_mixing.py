@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import duckdb
-from conftest import TINY
+from tables import TINY
 from pyspark.sql import functions as F
 
 from rankscope.llm import mixing

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import TINY
+from tables import TINY
 
 from rankscope.llm import ngram_join
 from rankscope.llm.components import components

@@ -3,14 +3,13 @@ from __future__ import annotations
 import corpus_pipeline
 import pytest
 import tiktoken
+from tables import TINY
 from test_ngram_join import brute
 
 from rankscope.llm import byte_bpe
 from rankscope.llm.common import store
 from rankscope.llm.queries import PATTERN, RANKS
 
-TINY = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="module")
 def steps(spark):

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import TINY
+from tables import TINY
 
 from rankscope.llm import pstable
 from rankscope.llm.queries import near_vectors

@@ -3,7 +3,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 
-from conftest import TINY
+from tables import TINY
 
 from rankscope.llm.queries import propagated_shards
 from rankscope.llm.shard_propagation import shard_texts
