@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from rankscope.llm.common import hex_number, store
 
 LEVELS = ("domain", "lang", "source")
-ROWS_PER_BIN = 4096
+ROWS_PER_BIN = 1024
 #: leaves (narrow rows) that may be broadcast
 BROADCAST_LEAVES = 100_000
 ORDER_HEX = 13
