@@ -1,7 +1,7 @@
 """Seconds per registered query; prints one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default all), ``BENCH_QUERIES`` (comma
-separated, default all). Each query is planned and run in full to a sink that discards
+separated, default all that do not repeat another's fit). Each query is planned and run in full to a sink that discards
 rows. The first query is run once beforehand, so that no figure holds the start of the engine.
 """
 
@@ -16,7 +16,12 @@ from pyspark.sql import SparkSession
 from rankscope.plans.queries import QUERIES
 from rankscope.session import build_session
 
-HEADLINE = tuple(QUERIES)
+#: queries that repeat the fit of forest_cv or kmeans_sweep for another table of it
+SAME_FIT = {
+    "forest_vs_baseline", "importance", "clusters", "cluster_composition", "cluster_totals",
+    "cluster_strata",
+}
+HEADLINE = tuple(name for name in QUERIES if name not in SAME_FIT)
 
 
 def run(spark: SparkSession, name: str, sf_dir: str) -> float:
