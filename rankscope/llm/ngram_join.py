@@ -56,6 +56,8 @@ SMALL = 24
 #: rows of two longs that may be broadcast: 16 MB
 BROADCAST_ROWS = 1_000_000
 CHECKED_TOGETHER = 128
+#: share of the needed shingles that must be found in the lists, beyond one
+MORE_SHARED = 0.03
 
 
 def overlap(n: int, m: int) -> int:
@@ -324,21 +326,21 @@ def _listed_pairs(entries: DataFrame, classes: DataFrame, limit: int) -> DataFra
     left = rows.join(store(main), "shingle").filter("c <> main").select(
         "shingle", "main", *[F.col(x).alias(f"{x}1") for x in ("doc_id", "n", "c", "place")]
     )
+    # of sets that share c shingles, the first n - c + k of either share k: more than one is asked
+    # for where the lists reach that far
+    need = "cast(ceil(3 * (n + n1) / 7) as int)"
+    reach = f"({need} - cast(ceil(3 * greatest(n, n1) / 4) as int) + 1)"
+    asked = f"least({reach}, 1 + cast(ceil({MORE_SHARED} * {need}) as int))"
     met = left.join(rows, "shingle").filter(
         "c <> c1 and (c = main or doc_id1 < doc_id) and 4 * least(n, n1) >= 3 * greatest(n, n1) "
-        f"and greatest(n, n1) > {limit}"
+        f"and greatest(n, n1) > {limit} "
+        f"and least(n - place, n1 - place1) > {need} - {asked}"
     )
     # a shared shingle appears once for a pair, on whichever side it is outside the main class
     pair = met.select(
-        F.least("doc_id1", "doc_id").alias("p"), F.greatest("doc_id1", "doc_id").alias("d"), "n", "n1",
-        F.expr("7 * least(n - place, n1 - place1) >= 3 * (n + n1)").alias("room"),
-    ).groupBy("p", "d").agg(
-        F.count("*").alias("k"), F.max("room").alias("room"), F.max(F.expr("n + n1")).alias("both"),
-        F.max(F.greatest("n", "n1")).alias("larger"),
-    )
-    # past the lists, a set has ceil(3n/4) - 1 shingles, so no more can be shared there
-    possible = "room and 7 * (k + ceil(3 * larger / 4) - 1) >= 3 * both"
-    return pair.filter(possible).select("p", "d")
+        F.least("doc_id1", "doc_id").alias("p"), F.greatest("doc_id1", "doc_id").alias("d"), F.expr(asked).alias("asked")
+    ).groupBy("p", "d").agg(F.count("*").alias("k"), F.max("asked").alias("asked"))
+    return pair.filter("k >= asked").select("p", "d")
 
 
 def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
