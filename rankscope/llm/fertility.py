@@ -5,6 +5,12 @@ stand for single bytes, and its tokens vary. Keyboard noise, encoded binary, bro
 repeated phrases do not. Two vocabularies are measured over the distinct words of a task, and each
 language, or where that is unknown each script, has its own bands.
 
+In Latin script the lower bounds are for the plain letters: what digits, marks and letters with accents cost
+in tokens is taken off first, so lists of numbers or many accents do not make prose look like noise. The
+bounds lie between the prose of the given tables (1.86 letters a token and more) and random letters
+(1.5 on average, 1.8 at most). A text rich in digits whose words mostly have none (prose around a key or a phone
+number) has looser bounds.
+
 NULL and empty texts have no words, so they fail the base rule. Every row is judged by itself:
 repeated rows get equal results, and only the named columns are read.
 """
@@ -30,6 +36,13 @@ REMEMBERED = 250_000
 TOGETHER = 3_000_000
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
+DIGITS = b"0123456789"
+LETTERS = bytes(range(65, 91)) + bytes(range(97, 123))
+#: first bytes of characters of two bytes, and of more
+TWO_BYTES, MORE_BYTES = bytes(range(0xC2, 0xE0)), bytes(range(0xE0, 0xF5))
+#: tokens of either vocabulary for a digit, a mark, a character of two bytes and one of more
+COSTS = ((1.0, 1.0, 1.0, 2.0), (0.4, 1.0, 2.0, 3.5))
+RICH = 0.1
 SCRIPTS = ("LATIN", "CYRILLIC", "GREEK", "ARABIC", "HEBREW", "DEVANAGARI", "CJK", "HIRAGANA", "HANGUL")
 
 SCHEMA = (
@@ -45,17 +58,20 @@ class Band:
     """A text outside any of these is refused.
 
     ``entropy`` is the least entropy in bits of a text of ``LONG`` tokens or more; a shorter text
-    needs the same share of the most that its token count allows.
+    needs the same share of the most that its token count allows. With ``letters`` the lower bounds of
+    ``chars`` and ``byte_chars`` are for plain letters and ``rich`` replaces them in texts rich in digits.
     """
 
     chars: tuple[float, float]
     byte_chars: tuple[float, float]
     byte_share: float
     entropy: float
+    letters: bool = False
+    rich: tuple[float, float] = (0.0, 0.0)
 
 
 LONG = 256
-WESTERN = Band((1.15, 7.0), (1.0, 7.5), 0.05, 3.0)
+WESTERN = Band((1.8, 7.0), (1.8, 7.5), 0.05, 3.0, True, (1.7, 1.5))
 BANDS = {
     "en": WESTERN, "de": WESTERN, "es": WESTERN, "fr": WESTERN, "LATIN": WESTERN,
     "CYRILLIC": Band((0.9, 6.0), (0.4, 3.0), 0.1, 3.0),
@@ -182,13 +198,48 @@ class Meter:
         return len(ids), int(self.other[numbers].sum()), int(self.single[ids].sum()), max(0.0, entropy)
 
 
-def outside(band: Band, chars: float, byte_chars: float, byte_share: float, entropy: float, n: int) -> list[str]:
+def letters_per_token(raw: bytes, tokens: int, others: int) -> tuple[float, float, float]:
+    """Plain letters a token of either vocabulary, without what all else costs; the share of digits.
+
+    A text without plain letters, or whose other characters explain all tokens, is not judged by letters.
+    """
+
+    def count(kind: bytes) -> int:
+        return len(raw) - len(raw.translate(None, kind))
+
+    letters, digits, two, more = count(LETTERS), count(DIGITS), count(TWO_BYTES), count(MORE_BYTES)
+    marks = len(raw.translate(None, LETTERS + DIGITS + BLANKS + bytes(range(128, 256))))
+    left = [
+        n - sum(c * k for c, k in zip(costs, (digits, marks, two, more), strict=True))
+        for n, costs in zip((tokens, others), COSTS, strict=True)
+    ]
+    per = [letters / n if letters and n > 0 else float("inf") for n in left]
+    return per[0], per[1], digits / max(1, letters + digits + marks + two + more)
+
+
+def least_letters(band: Band, raw: bytes, digits: float) -> tuple[float, float]:
+    """The lower bounds of a text with this share of digits."""
+    if digits > RICH:
+        words = raw.split()
+        if 2 * sum(w.translate(None, DIGITS) == w for w in words) >= len(words):
+            return band.rich
+    return band.chars[0], band.byte_chars[0]
+
+
+def outside(
+    band: Band, chars: float, byte_chars: float, byte_share: float, entropy: float, n: int, raw: bytes, others: int
+) -> list[str]:
     """The names of the measures outside their bands."""
     least = band.entropy * np.log2(max(2, min(n, LONG))) / np.log2(LONG)
     found = []
-    if not band.chars[0] <= chars <= band.chars[1]:
+    fits, byte_fits = chars >= band.chars[0], byte_chars >= band.byte_chars[0]
+    if band.letters:
+        per, byte_per, digits = letters_per_token(raw, n, others)
+        least_per, least_byte = least_letters(band, raw, digits)
+        fits, byte_fits = per >= least_per, byte_per >= least_byte
+    if not fits or chars > band.chars[1]:
         found.append("chars_per_token")
-    if not band.byte_chars[0] <= byte_chars <= band.byte_chars[1]:
+    if not byte_fits or byte_chars > band.byte_chars[1]:
         found.append("bytes_chars_per_token")
     if byte_share > band.byte_share:
         found.append("byte_share")
@@ -208,7 +259,7 @@ def _row(meter: Meter, text: str, raw: bytes, words: np.ndarray, language: str |
         (chars / tokens, chars / max(1, others), single / tokens) if tokens else (0.0, 0.0, 0.0)
     )
     script = language if language in BANDS else script_of(text)
-    reasons = outside(BANDS.get(script, BANDS["OTHER"]), per, byte_per, share, entropy, tokens)
+    reasons = outside(BANDS.get(script, BANDS["OTHER"]), per, byte_per, share, entropy, tokens, raw, others)
     return (
         n, chars, symbols, repeated_lines(text), repeats, failed, not failed and not reasons,
         tokens, per, byte_per, share, entropy, script, ",".join(reasons),

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import base64
+import random
 import re
+import string
 from collections import Counter
 
+from pyspark.sql import functions as F
 from tables import TINY
 
 from rankscope.llm import fertility
@@ -59,3 +63,37 @@ def test_odd_rows(spark, odd_docs):
     assert by_id[1].n_words == 0 and by_id[1].base_failed and not by_id[1].kept
     assert by_id[3].n_words == 30_001 and by_id[3].base_failed
     assert fertility.judge(odd_docs.limit(0), PIECES, RANKS, PATTERN).count() == 0
+
+
+def test_keyboard_noise_and_encoded_binary_are_refused_and_prose_stays(spark):
+    draw = random.Random(3)
+
+    def words(letters: str, n: int) -> str:
+        return " ".join("".join(draw.choices(letters, k=draw.randint(3, 9))) for _ in range(n))
+
+    lower = string.ascii_lowercase
+    noise = [words(a, n) for n in (15, 40, 200) for a in (lower, lower.upper(), "bcdfghjklmnpqrstvwxz", "asdfghjkl", lower + string.digits)]
+    noise += [" ".join(base64.b64encode(draw.randbytes(45)).decode() for _ in range(n)) for n in (12, 40)]
+    noise += [" ".join(draw.randbytes(16).hex() for _ in range(n)) for n in (12, 40)]
+    # noise with numbers between has no looser bounds
+    noise += [" ".join(f"{w} {draw.randint(10, 9999)}" for w in words(lower, 40).split())]
+    noise += ["xq zvkj wqpx kzzq jxvq qwzk vvxj kqjz zxqw jkvq"]
+    prose = [
+        "It was a bright cold day in April, and the clocks were striking thirteen for everyone there.",
+        "IT WAS A BRIGHT COLD DAY IN APRIL, AND THE CLOCKS WERE STRIKING THIRTEEN FOR EVERYONE THERE.",
+        "Der schnelle braune Fuchs springt über den faulen Hund, während die Kinder im Garten spielen und lachen.",
+        "En un lugar de la Mancha, de cuyo nombre no quiero acordarme, no ha mucho tiempo que vivía un hidalgo.",
+        "Longtemps, je me suis couché de bonne heure. Parfois, à peine ma bougie éteinte, mes yeux se fermaient si vite.",
+        "Všichni lidé rodí se svobodní a sobě rovní co do důstojnosti a práv. Jsou nadáni rozumem a svědomím.",
+        "Please call the office at +1 (168) 555-5254 before noon, the card 8316107434564120 was refused again.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(noise + prose)), "doc_id long, text string")
+    for lang in (None, "en", "de", "es", "fr"):
+        rows = fertility.judge(docs.withColumn("lang", F.lit(lang).cast("string")), PIECES, RANKS, PATTERN).collect()
+        kept = {r.doc_id for r in rows if r.kept}
+        assert kept == set(range(len(noise), len(noise) + len(prose))), lang
+
+
+def test_every_text_of_the_tables_that_passes_the_base_rule_stays(spark):
+    rows = fertility_rules(spark, "/root/testdata/sf0.01").collect()
+    assert [r.doc_id for r in rows if not r.kept and not r.base_failed] == []
