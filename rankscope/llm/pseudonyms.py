@@ -28,7 +28,9 @@ ROUNDS = 8
 DIGEST_HEX = 13
 
 
-def feistel(value: Column, left_size: int, right_size: int, key: str, tweak: str, inverse: bool = False) -> Column:
+def feistel(
+    value: Column, left_size: int | Column, right_size: int | Column, key: str, tweak: str, inverse: bool = False
+) -> Column:
     """A keyed permutation of 0 .. ``left_size * right_size - 1``.
 
     ``ROUNDS`` times the digest of one half is added to the other, modulo that half's size.
@@ -114,6 +116,40 @@ def phone(text: Column, key: str) -> Column:
     return F.when(area >= 100, refill(text, out)).otherwise(text)
 
 
+#: country codes of one and two digits; all others have three
+COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
+
+def zero_area(text: Column, key: str) -> Column:
+    """Ten-digit numbers whose area has a leading zero; so has the pseudonym."""
+    number = F.substring(digits(text), -10, 10)
+    lead = F.substring(digits(text), F.lit(1), F.length(digits(text)) - 10)
+    made = feistel(number.cast("long"), 100_000, 10_000, key, "phone0")
+    return refill(text, F.concat(lead, padded(made, 10)))
+
+
+def abroad(text: Column, key: str) -> Column:
+    """Numbers with a country code other than 1, which stays; the rest keeps its length."""
+    number = digits(text)
+    lead = F.regexp_extract(number, COUNTRY, 0)
+    rest = F.substring(number, F.length(lead) + 1, F.lit(15))
+    size = F.length(rest)
+    left = F.pow(F.lit(10), F.floor(size / 2)).cast("long")
+    right = F.pow(F.lit(10), size - F.floor(size / 2)).cast("long")
+    made = feistel(rest.cast("long"), left, right, key, "abroad")
+    return refill(text, F.concat(lead, F.lpad(made.cast("string"), size, F.lit("0"))))
+
+
+def any_phone(text: Column, key: str) -> Column:
+    """Phones of any area and country."""
+    area = F.substring(F.substring(digits(text), -10, 10), 1, 3).cast("int")
+    return (
+        F.when(text.rlike(r"^\+[2-9]"), abroad(text, key))
+        .when(area < 100, zero_area(text, key))
+        .otherwise(phone(text, key))
+    )
+
+
 def address(text: Column, key: str) -> Column:
     """Dotted addresses of four numbers below 256; the pseudonym has numbers below 256 too."""
     parts = F.transform(F.split(text, r"\."), lambda p: p.cast("long"))
@@ -202,6 +238,18 @@ SECRET_LEAD = rf"^(?:{_NAMES}\s*[=:]\s*[\x22']?)?"
 _AFTER = "(?![0-9A-Za-z])"
 #: what stands before a candidate; each pattern follows it
 BEFORE = "(?<![0-9A-Za-z])"
+_CARD = r"[0-9]{4}(?:[ -]?[0-9]{4}){3}" + _AFTER
+_SOCIAL = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
+_ADDRESS = r"(?<![.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
+_LOCAL = r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _AFTER
+#: a number abroad ends before a value of another kind
+_OTHER = rf"[ ](?:{_CARD}|{_SOCIAL}|{_ADDRESS}|{_LOCAL}|(?:19|20)[0-9]{{2}}[./-][0-9]{{2}}[./-][0-9]{{2}}{_AFTER})"
+_PHONE = (
+    rf"(?:\+?1[ .-]?)?{_LOCAL}"
+    rf"|\+1(?:[ .()-]{{0,2}}[0-9]){{10}}{_AFTER}"
+    rf"|\+[2-9][0-9]{{6,14}}{_AFTER}"
+    rf"|\+[2-9](?:(?!{_OTHER})[ .()-]{{0,2}}[0-9]){{6,14}}{_AFTER}"
+)
 KINDS = (
     Kind("mail", r"[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}", _at_sign, mail),
     Kind(
@@ -210,10 +258,10 @@ KINDS = (
         rf"|AKIA[A-Z0-9]{{16}}{_AFTER}|gh[pousr]_[A-Za-z0-9]{{36}}{_AFTER}",
         _secret_word, secret,
     ),
-    Kind("card", r"[0-9]{4}(?:[ -]?[0-9]{4}){3}" + _AFTER, _two_digits, card),
-    Kind("phone", r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _AFTER, _two_digits, phone),
-    Kind("social", r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", _two_digits, social),
-    Kind("address", r"(?<![.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])", _four_numbers, address),
+    Kind("card", _CARD, _two_digits, card),
+    Kind("phone", _PHONE, _two_digits, any_phone),
+    Kind("social", _SOCIAL, _two_digits, social),
+    Kind("address", _ADDRESS, _four_numbers, address),
     Kind("date", r"(?:19|20)[0-9]{2}([./-])[0-9]{2}\1[0-9]{2}" + _AFTER, _two_digits, date),
 )
 

@@ -105,3 +105,44 @@ def test_odd_rows_and_no_python(spark, odd_docs):
     assert p.pseudonymise(odd_docs.limit(0), KEY).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_phones_of_any_area_and_country(spark):
+    values = ["+1 (017) 555-7713", "017-555-7713", "000-000-0000", "+15551234567", "555-123-4567", "+442079460958",
+              "+44 20 7946 0958", "+49 (30) 901820", "+33 1 23 45 67 89", "+353 1 679 6000", "+8613912345678"]
+    docs = spark.createDataFrame([(i, f"call {v}, now") for i, v in enumerate(values)], "doc_id long, text string")
+    got = {values[r.doc_id]: r.text[5:-5] for r in p.pseudonymise(docs, KEY).collect()}
+    for value, made in got.items():
+        assert made != value and re.sub(r"\d", "0", made) == re.sub(r"\d", "0", value)
+    same = lambda a, b: re.sub(r"\D", "", got[a])[-10:] == re.sub(r"\D", "", got[b])[-10:]
+    assert same("+1 (017) 555-7713", "017-555-7713") and same("+15551234567", "555-123-4567")
+    assert same("+442079460958", "+44 20 7946 0958")
+    for lead in ("+1 (0", "0", "+1", "+44", "+49 (", "+33 ", "+353 ", "+86"):
+        assert all(got[v].startswith(lead) for v in values if v.startswith(lead))
+
+
+def test_a_number_abroad_ends_before_other_data(spark):
+    card = "4111111111111111"
+    rest = [card, "4111 1111 1111 1111", "10.1.2.3", "123-45-6789", "1987-02-28", "988-555-2485"]
+    rows = [(i, f"+33 1 23 45 67 89 {v} end") for i, v in enumerate(rest)] + [(9, "+33 1 23 45 67 89 end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in docs.select("doc_id", p.candidates(F.col("text")).alias("found")).collect()}
+    assert all(got[i].found == ["+33 1 23 45 67 89", v] for i, v in enumerate(rest))
+    assert got[9].found == ["+33 1 23 45 67 89"]
+
+
+def test_numbers_abroad_are_permuted(spark):
+    made = turned(spark, [f"+354 {i:04d}" for i in range(10_000)], p.any_phone)
+    assert len(set(made.values())) == 10_000 and all(re.fullmatch(r"\+354 \d{4}", m) for m in made.values())
+
+
+def test_no_phone_of_the_table_stays(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("text like '%+1 (%'")
+    originals = {r.doc_id: r.text for r in docs.collect()}
+    seen = 0
+    for r in p.pseudonymise(docs, KEY).collect():
+        found = re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}", originals[r.doc_id])
+        seen += len(found)
+        assert not any(v in r.text for v in found)
+    assert seen > 100
