@@ -51,3 +51,30 @@ def test_odd_rows(spark, odd_docs):
     check_law(rows)
     assert [r.size for r in rows if r.doc_id == 1] == [1]
     assert shard_texts(odd_docs.limit(0)).count() == 0
+
+
+def test_a_hot_third_beside_many_small_groups(spark):
+    texts = ["hot"] * 4_000 + [f"group {i // 10}" for i in range(3_000)] + [f"own {i}" for i in range(5_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = shard_texts(docs).collect()
+    check_law(rows)
+    shards: dict[str, set[int]] = {}
+    for r in rows:
+        shards.setdefault(texts[r.doc_id], set()).add(r.shard)
+    hot = sorted(shards.pop("hot"))
+    assert len(hot) == 3 and hot[-1] - hot[0] == 2
+    assert sum(len(s) > 1 for s in shards.values()) == 0
+
+
+def test_links_only_and_none_alone(spark):
+    # three groups of 260 for shards of 100, and groups of 60 that leave rooms of 40
+    texts = [f"hot {i // 260}" for i in range(780)] + [f"group {i // 60}" for i in range(20)]
+    rows = shard_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    check_law(rows)
+    texts = [f"group {i // 60}" for i in range(780)] + ["rest"] * 20
+    rows = shard_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    check_law(rows)
+    shards: dict[str, set[int]] = {}
+    for r in rows:
+        shards.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert sum(len(s) - 1 for s in shards.values()) <= 7
