@@ -80,7 +80,7 @@ _VERSIONED = (
 
 #: label, keyword, pattern, weight
 _PLAIN = (
-    ("mit", "mit license", r"mit licen[cs]e", 0.9),
+    ("mit", "mit", r"mit licen[cs]e", 0.9),
     ("mit", "permission is hereby granted", r"permission is hereby granted free of charge to any person", 0.95),
     ("isc", "isc", r"isc licen[cs]e", 0.9),
     ("isc", "permission to use copy", r"permission to use copy modify and or distribute this software", 0.9),
@@ -98,14 +98,14 @@ _PLAIN = (
     ("zlib", "provided as is", r"this software is provided as is without any express or implied warranty", 0.7),
     ("boost", "boost software", r"boost software licen[cs]e", 0.95),
     ("unlicense", "unencumbered", r"free and unencumbered software released into the public domain", 0.95),
-    ("unlicense", "unlicense", r"(?:the )?unlicense", 0.8),
+    ("unlicense", "unlicen", r"(?:the )?unlicen[cs]e", 0.8),
     ("wtfpl", "what the", r"do what the \w+ you want to public licen[cs]e", 0.95),
     ("wtfpl", "wtfpl", r"wtfpl", 0.9),
     ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?", 0.95),
     ("public-domain", "public domain", r"(?:released into|dedicated to|placed in|in) the public domain", 0.8),
     ("psf", "python software", r"python software foundation licen[cs]e", 0.9),
-    ("php", "php license", r"php licen[cs]e", 0.8),
-    ("ruby", "ruby license", r"ruby licen[cs]e", 0.8),
+    ("php", "php", r"php licen[cs]e", 0.8),
+    ("ruby", "ruby", r"ruby licen[cs]e", 0.8),
     ("openssl", "openssl", r"openssl licen[cs]e", 0.9),
     ("postgresql", "postgresql", r"postgresql licen[cs]e", 0.9),
     ("ncsa", "ncsa", r"ncsa open source licen[cs]e", 0.9),
@@ -120,7 +120,7 @@ _PLAIN = (
     ("no-redistribution", "prohibited", r"(?:reproduction|redistribution|copying)(?: of this \w+)? is (?:strictly )?prohibited", 0.7),
     ("no-redistribution", "may not be", r"may not be (?:reproduced|copied|redistributed)", 0.6),
     ("permission-required", "written permission", r"without (?:the )?(?:prior |express )*written permission", 0.5),
-    ("license-notice", "licensed under", r"(?:is |are )?licen[cs]ed under(?: the| a)?", 0.3),
+    ("license-notice", "ed under", r"(?:is |are )?licen[cs]ed under(?: the| a)?", 0.3),
     ("license-notice", "terms of", r"under the terms of the(?: \w+){1,6} licen[cs]e", 0.5),
     ("warranty-disclaimer", "warranties", r"without warranties or conditions of any kind", 0.5),
     ("warranty-disclaimer", "warranty", r"without (?:any|even the implied) warranty", 0.5),
@@ -150,8 +150,10 @@ def rules() -> tuple[Rule, ...]:
     for label, keyword, name, versions in _VERSIONED:
         for version in versions:
             number = _version(version)
-            for joint, form in (("version ", "v"), ("v ?", "v"), ("", "n")):
-                base = f"{name} {joint}{number}"
+            for joint, form in ((" version ", "v"), (" v ?", "v"), (" ", "n")):
+                if keyword == label and joint == " v ?":
+                    joint = " ?v ?"  # short names are written as one word with their version: gplv3
+                base = f"{name}{joint}{number}"
                 full = f"{label}-{version}"
                 weight = 0.95 if form == "v" else 0.85
                 later = r"(?: of the licen[cs]e)? or (?:\(at your option\) |at your option )?(?:any )?later"

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from re import _parser as parser
 
 from tables import TINY
 
@@ -46,6 +47,49 @@ def test_priority_and_containment():
     assert labels("nothing of the kind, accgpl mitx") == []
 
 
+def test_british_spelling_and_short_forms():
+    for name, label in (("MIT Licence", "mit"), ("PHP Licence", "php"), ("Ruby Licence", "ruby"), ("BSD Licence", "bsd")):
+        assert labels(f"the {name}.") == [label] == labels(f"the {name.replace('ence', 'ense')}.")
+    assert labels("This is licenced under it") == ["license-notice"] == labels("This is licensed under it")
+    assert labels("GPLv3") == ["gpl-3.0"] == labels("GPL v3") == labels("GPL-3.0")
+    assert labels("GPLv2+ or GPLv2 or later") == ["gpl-2.0", "gpl-2.0-or-later"]
+    assert labels("LGPLv2.1, MPLv2, AGPLv3.0") == ["lgpl-2.1", "mpl-2.0", "agpl-3.0"]
+    assert labels("Apachev2") == ["apache-2.0"]
+    assert labels("gplv33 xgplv3") == []
+
+
+def spellings(parts) -> list[str]:
+    """Texts that a parsed pattern matches: each branch, each of a set, nothing or one of what may be left out."""
+    made = [""]
+    for kind, value in parts:
+        name = str(kind)
+        if name == "LITERAL":
+            each = [chr(value)]
+        elif name == "IN":
+            kinds = {str(k) for k, _ in value}
+            each = [chr(v) for k, v in value if str(k) == "LITERAL"] if kinds == {"LITERAL"} else ["1"]
+        elif name == "SUBPATTERN":
+            each = spellings(value[-1])
+        elif name == "BRANCH":
+            each = [x for branch in value[1] for x in spellings(branch)]
+        elif name in ("MAX_REPEAT", "POSSESSIVE_REPEAT"):
+            low, _, inner = value
+            once = spellings(inner)
+            each = [x * low for x in once] + [x * (low + 1) for x in once]
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT"), name
+            each = [""]
+        made = list(dict.fromkeys(a + b for a in made for b in each))
+    return made
+
+
+def test_each_keyword_is_in_all_spellings_of_its_pattern():
+    for rule in license_rules.rules():
+        keyword = rule.keyword.decode()
+        parsed = parser.parse(rule.pattern.pattern.decode().replace(r"\\w", "1").replace(r"\\d", "1"))
+        assert [x for x in spellings(parsed) if keyword not in x] == [], (rule.label, keyword)
+
+
 def test_there_are_hundreds_of_rules_in_order():
     rules = license_rules.rules()
     assert len(rules) > 300 and [r.priority for r in rules] == sorted(r.priority for r in rules)
