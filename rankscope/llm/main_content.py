@@ -19,7 +19,7 @@ import html as entities
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,12 +39,16 @@ HIDDEN = frozenset(
     "aside button dialog fieldset footer form head iframe label legend menu nav noscript object option "
     "search select template textarea title".split()
 )
-HIDDEN_NAMES = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|"
+_NAME = (
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|"
     r"newsletter|subscribe|signup|login|sidebar|side|widget|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|"
     r"(?:site|page|top)[-_]?header|masthead|topbar|footer|bottom|copyright|comments?|commentlist|replies|reply|respond|disqus|"
-    r"share|sharing|social|follow|related|recommend\w*|trending|popular|tags|toc|search|form|hidden)(?:$|[-_ ])"
+    r"share|sharing|social|follow|related|recommend\w*|trending|popular|tags|toc|search|form|hidden)"
 )
+_PLACE = r"(?:area|bar|block|box|container|inner|item|left|list|right|section|wrap|wrapper|[0-9]+)"
+#: a whole class or id: such names only, with words that say where or what kind of box
+HIDDEN_NAMES = re.compile(rf"(?:{_PLACE}[-_])*{_NAME}(?:[-_](?:{_NAME}|{_PLACE}))*")
+NEVER_NAMED = MARKS | {"html", "body"}
 HIDDEN_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 
 TOKEN = re.compile(
@@ -61,40 +65,48 @@ Weights = dict[str, float]
 TAG_COST = -1.0
 HIDDEN_COST = -0.02
 PRIOR = 2.0
-
-
-def _hidden(name: str, attrs: str) -> tuple[bool, str]:
-    """Whether an element's name or attributes say that it is not article text, and its first class."""
-    first = ""
+#: worth of a word before any page is seen where only a class or id speaks against it
+NAMED_PRIOR = -0.5
+#: names are overruled where the page without them has a stretch worth so many times more
+OUTVOTED = 10.0
+#: how an element is hidden: not, by a class or id, by its tag or what it declares
+SHOWN, NAMED, HARD = 0, 1, 2
+SIGNS = ("", "-", "~")
+
+
+def _hidden(name: str, attrs: str) -> tuple[int, str]:
+    """How an element's name or attributes say that it is not article text, and its first class."""
+    first, named = "", False
     hidden = name in HIDDEN
     if attrs and "=" in attrs or "hidden" in attrs:
         for key, *values in ATTRIBUTE.findall(attrs):
             key, value = key.lower(), next((v for v in values if v), "").lower()
             if key in ("class", "id"):
                 first = first or value.split(" ")[0][:40]
-                hidden = hidden or bool(HIDDEN_NAMES.search(value))
+                named = named or any(map(HIDDEN_NAMES.fullmatch, value.split()))
             elif key == "role":
                 hidden = hidden or value in HIDDEN_ROLES
             elif key == "hidden" or key == "aria-hidden" and value == "true":
                 hidden = True
             elif key == "style":
                 hidden = hidden or "display:none" in value.replace(" ", "")
-    return hidden, first
+    return HARD if hidden else NAMED if named and name not in NEVER_NAMED else SHOWN, first
 
 
 def segments(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     """The page as (text or tag, kind of its block, whether it is marked as article, whether a tag).
 
     A kind is the block's tag, its first class if it has one, ``~`` in front inside an element that
-    is hidden by its name, and ``>a`` behind inside a link. Tags that end no block are left out.
+    is hidden by its tag or attributes, ``-`` inside one whose class or id speaks against it (unless an ``article``
+    or ``main`` lies between), and ``>a`` behind inside a link. Tags that end no block are left out.
     """
-    stack: list[tuple[str, bool, bool, str]] = [("", False, False, "body")]
+    stack: list[tuple[str, int, bool, str]] = [("", SHOWN, False, "body")]
     links = 0
     last = 0
 
     def kind() -> str:
         top = stack[-1]
-        return ("~" if top[1] else "") + top[3] + (">a" if links else "")
+        return SIGNS[top[1]] + top[3] + (">a" if links else "")
 
     for found in TOKEN.finditer(page):
         if found.start() > last:
@@ -114,7 +126,7 @@ def segments(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                 hidden, _ = _hidden(name, found["attrs"])
                 if hidden and not found["attrs"].rstrip().endswith("/"):
                     top = stack[-1]
-                    stack.append((name, True, top[2], name))
+                    stack.append((name, max(top[1], hidden), top[2], name))
                     continue
             elif found["close"] and len(stack) > 1 and stack[-1][0] == name:
                 stack.pop()
@@ -130,10 +142,12 @@ def segments(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             hidden, first = _hidden(name, found["attrs"])
             above = stack[-1]
             if name == "header":
-                hidden = hidden or not above[2] and not any(s[0] in MARKS for s in stack)
+                if not above[2] and not any(s[0] in MARKS for s in stack):
+                    hidden = HARD
             marked = above[2] or name in MARKS
             shown = above[3] if name in MARKS or name in ("html", "body") else name + ("." + first if first else "")
-            stack.append((name, above[1] or hidden, marked, shown))
+            over = SHOWN if name in MARKS and above[1] == NAMED else above[1]
+            stack.append((name, max(over, hidden), marked, shown))
         yield name, kind(), stack[-1][2], True
     if last < len(page):
         yield page[last:], kind(), stack[-1][2], False
@@ -141,13 +155,20 @@ def segments(page: str) -> Iterator[tuple[str, str, bool, bool]]:
 
 def prior(kind: str) -> float:
     """Worth of a word before any page is seen."""
-    return -PRIOR if kind.startswith("~") or kind.endswith(">a") else PRIOR
+    if kind.startswith("~") or kind.endswith(">a"):
+        return -PRIOR
+    return NAMED_PRIOR if kind.startswith("-") else PRIOR
 
 
 def weight(kind: str, weights: Weights) -> float:
     return weights.get(kind, prior(kind))
 
 
+def nameless(kind: str, weights: Weights) -> float:
+    """Worth of a word where names say nothing that the labelled pages have not shown."""
+    return weight(kind if kind in weights else kind.removeprefix("-"), weights)
+
+
 def _counts(pages: Iterator[str]) -> Counter:
     """Words and tags by (what, kind, marked) over the pages that mark an article."""
     counts: Counter = Counter()
@@ -193,21 +214,40 @@ def learn(pages: DataFrame, html: str = "html", most_pages: int = 2000) -> Weigh
     return out
 
 
-def extract_text(page: str, weights: Weights) -> str:
-    """The article of one page, its blocks two line ends apart."""
-    parts = [(entities.unescape(x) if not tag else "", k, tag) for x, k, _, tag in segments(page)]
+Worth = Callable[[str, Weights], float]
+
+
+def _best(parts: list[tuple[str, str, bool]], weights: Weights, worth_of: Worth) -> tuple[float, tuple[int, int]]:
+    """The largest sum of a stretch, and where it lies."""
     best, best_span, total, start = 0.0, (0, 0), 0.0, 0
     for i, (content, kind, tag) in enumerate(parts):
         if tag:
-            total += TAG_COST / 10 if kind.startswith("~") or weight(kind, weights) > 0 else TAG_COST
+            cheap = kind.startswith(("~", "-")) or worth_of(kind, weights) > 0
+            total += TAG_COST / 10 if cheap else TAG_COST
         else:
-            # what is hidden by its name is never text, so it hardly parts a stretch
-            worth = HIDDEN_COST if kind.startswith("~") else weight(kind, weights)
+            # what is hidden by its tag is never text, so it hardly parts a stretch
+            worth = HIDDEN_COST if kind.startswith("~") else worth_of(kind, weights)
             total += len(content.split()) * worth
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:
             best, best_span = total, (start, i + 1)
+    return best, best_span
+
+
+def extract_text(page: str, weights: Weights) -> str:
+    """The article of one page, its blocks two line ends apart.
+
+    A class or id only lowers the worth of words: kinds that labelled pages show in articles count as
+    such, and where nearly all that a page says stands under such names, they are overruled.
+    """
+    parts = [(entities.unescape(x) if not tag else "", k, tag) for x, k, _, tag in segments(page)]
+    worth_of: Worth = weight
+    best, best_span = _best(parts, weights, weight)
+    if any(kind.startswith("-") for _, kind, _ in parts):
+        other, other_span = _best(parts, weights, nameless)
+        if other > OUTVOTED * best:
+            worth_of, best_span = nameless, other_span
     blocks: list[str] = []
     held: list[str] = []
     for content, kind, tag in [*parts[slice(*best_span)], ("", "", True)]:
@@ -215,7 +255,7 @@ def extract_text(page: str, weights: Weights) -> str:
             if block := " ".join("".join(held).split()):
                 blocks.append(block)
             held = []
-        elif not kind.startswith("~") and weight(kind.removesuffix(">a"), weights) > 0:
+        elif not kind.startswith("~") and worth_of(kind.removesuffix(">a"), weights) > 0:
             held.append(content)
     return "\n\n".join(blocks)
 

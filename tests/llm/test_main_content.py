@@ -57,3 +57,34 @@ def test_best_stretch_is_the_maximum():
     weights = {"p": 2.0, "div.x": -3.0}
     page = "<div class=x>a b</div><p>one two three</p><div class=x>c</div><p>four</p><div class=x>d e f</div><p>g</p>"
     assert main_content.extract_text(page, weights) == "one two three"
+
+
+ARTICLE = "<h1>A title</h1><p>The first paragraph of the text has some words.</p><p>So has the second one here.</p>"
+TEXT = "A title\n\nThe first paragraph of the text has some words.\n\nSo has the second one here."
+
+
+def test_names_do_not_hide_a_whole_page():
+    for page in (
+        f'<body class="post no-sidebar">{ARTICLE}</body>',
+        f'<html class="has-sidebar"><body id="popular">{ARTICLE}</body></html>',
+        f'<body><article class="post comments-open">{ARTICLE}</article></body>',
+        f'<body><main class="widget">{ARTICLE}</main></body>',
+        f'<body><div class="related"><article>{ARTICLE}</article></div></body>',
+        f'<body><div class="popular">{ARTICLE}</div></body>',
+    ):
+        assert main_content.extract_text(page, {}) == TEXT, page
+
+
+def test_names_still_speak_against_a_block():
+    for name in ("ad", "comments", "comments-area", "sidebar left", "cookie-notice", "site-header", "related_box"):
+        page = f'<body>{ARTICLE}<div class="{name}"><p>Buy this now as it is cheap.</p></div></body>'
+        assert main_content.extract_text(page, {}) == TEXT, name
+    for name in ("no-sidebar", "comments-open", "side-effects-explained"):
+        page = f'<body>{ARTICLE}<div class="{name}"><p>Third one.</p></div></body>'
+        assert main_content.extract_text(page, {}) == f"{TEXT}\n\nThird one.", name
+
+
+def test_learned_weights_outvote_names():
+    page = f'<body>{ARTICLE}<div class="popular"><p>Third one.</p></div></body>'
+    assert main_content.extract_text(page, {"-p": 3.0}) == f"{TEXT}\n\nThird one."
+    assert main_content.extract_text(f'<body><div class="comments">{ARTICLE}</div></body>', {"-p": -3.0, "-h1": -3.0}) == ""
