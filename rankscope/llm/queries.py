@@ -17,6 +17,7 @@ from rankscope.llm import (
     license_rules,
     main_content,
     mixing,
+    nb_ngrams,
     ngram_join,
     pseudonyms,
     pstable,
@@ -75,8 +76,8 @@ def propagated_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_propagation.shard_texts(table(spark, sf_dir, "documents"))
 
 
-def held_out(doc_id: Column) -> Column:
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
 def language_network(docs: DataFrame) -> language_cnn.Network | None:
@@ -125,6 +126,13 @@ def pseudonymised(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept_back = held_out(F.col("doc_id"), 5, 0)
+    model = nb_ngrams.fit(nb_ngrams.labelled(docs, table(spark, sf_dir, "labels"), ~kept_back))
+    return nb_ngrams.score(docs, model, kept_back)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": bpe_digests,
     "op2_fertility": fertility_rules,
@@ -136,4 +144,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": weighted_mix,
     "op9_ngram_join": near_texts,
     "op10_pseudonyms": pseudonymised,
+    "op11_toxicity": toxicity,
 }
