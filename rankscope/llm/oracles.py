@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rankscope.llm import mixing
+from rankscope.llm import mixing, source_divergence
 from rankscope.llm.queries import MIX_SEED, MIX_SHARE, MIX_WEIGHTS
 
 
@@ -56,4 +56,30 @@ select doc_id, domain, lang, source, epoch::int as epoch, n_tokens, tokens_befor
 from o where tokens_before < budget
 """
 
-ORACLES = {"op8_mixing": _MIX}
+_AUDIT = f"""
+with d as materialized (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as id,
+    coalesce(text, '') as text from documents),
+t as (select lang, source, id, translate(unnest(regexp_extract_all(text, '{source_divergence.TERM}')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from d),
+l as materialized (select lang, term, count(*) as n from t group by all having count(distinct id) >= {source_divergence.LEAST_DOCS}),
+c as (select lang, source, term, count(*) as n from t semi join l using (lang, term) group by all),
+g as (select distinct lang, source from d),
+v as (select lang, count(l.term) as kept, coalesce(sum(l.n), 0) as total from (select distinct lang from d) left join l using (lang) group by lang),
+s as (select lang, source, coalesce(sum(n), 0) as total from g left join c using (lang, source) group by all),
+p as materialized (select lang, source, l.term, coalesce(c.n, 0) as n,
+    1 + 1000000000::hugeint * (coalesce(c.n, 0) + 2) // (s.total::hugeint + 2 * kept) as p,
+    1 + 1000000000::hugeint * (l.n + 2) // (v.total::hugeint + 2 * kept) as q
+  from s join v using (lang) join l using (lang) left join c using (lang, source, term)),
+a as (select x.lang, x.source, 'pair' as part, y.source as item,
+    coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::bigint as value
+  from p x join p y using (lang, term) where x.source <> y.source group by all),
+b as (select x.lang, x.source, 'pair' as part, y.source as item, coalesce(a.value, 0) as value
+  from g x join g y on x.lang = y.lang and x.source <> y.source
+  left join a on a.lang = x.lang and a.source = x.source and a.item = y.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from p where n > 0 and p > q)
+select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from b
+qualify part = 'pair' or rank <= {source_divergence.BEST_TERMS}
+"""
+
+ORACLES = {"op8_mixing": _MIX, "op13_source_divergence": _AUDIT}

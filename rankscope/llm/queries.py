@@ -22,6 +22,7 @@ from rankscope.llm import (
     pseudonyms,
     pstable,
     shard_propagation,
+    source_divergence,
 )
 from rankscope.llm.common import strings, table
 
@@ -133,6 +134,10 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nb_ngrams.score(docs, model, kept_back)
 
 
+def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": bpe_digests,
     "op2_fertility": fertility_rules,
@@ -145,4 +150,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": near_texts,
     "op10_pseudonyms": pseudonymised,
     "op11_toxicity": toxicity,
+    "op13_source_divergence": source_audit,
 }
