@@ -19,6 +19,7 @@ from rankscope.llm import (
     mixing,
     nb_ngrams,
     ngram_join,
+    periodic_runs,
     pseudonyms,
     pstable,
     shard_propagation,
@@ -134,6 +135,10 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nb_ngrams.score(docs, model, kept_back)
 
 
+def repeated_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(table(spark, sf_dir, "documents"), plant=True)
+
+
 def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -150,5 +155,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": near_texts,
     "op10_pseudonyms": pseudonymised,
     "op11_toxicity": toxicity,
+    "op12_periodic_runs": repeated_stretches,
     "op13_source_divergence": source_audit,
 }
