@@ -74,7 +74,8 @@ def labelled(docs: DataFrame, labels: DataFrame, trains: Column) -> DataFrame:
     """``(doc_id, text, label)`` of the rows of ``docs`` where ``trains`` holds and a label is known."""
     known = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     rows = docs.filter(trains).filter("doc_id is not null").select("doc_id", "text")
-    return rows.join(store(known), "doc_id")
+    # one plan at every size: a table of labels that is broadcast while small would hide what a large one costs
+    return rows.join(store(known).hint("merge"), "doc_id")
 
 
 def class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
