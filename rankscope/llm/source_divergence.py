@@ -1,10 +1,13 @@
 """How far the sources of a language differ in their words, by chunk factorization.
 
-White space cuts a text into chunks. A task counts the chunks of a few documents at a time (a block): one
-row for each chunk, language and source, with its occurrences and the numbers of the documents that hold it.
-Each distinct chunk of the corpus is then cut into terms once, and its terms are joined back to its rows.
-A term's documents in a block are the distinct numbers over its chunks; blocks share no document, so sums
-over blocks are exact. From there on everything works on counts for (language, source, term).
+White space cuts a text into chunks. A task counts the chunks of its documents, by language and source, and
+how many documents hold each. The counts are added up by chunk, so that each distinct chunk of the corpus is
+one row with the sources that have it; it is cut into terms there, once, and its counts go to its terms.
+
+Whether a term is kept depends on its distinct documents, and a document may hold a term in several chunks
+("Word", "word,"). The largest count of one chunk and the sum over all chunks bound the number. Where the
+bounds leave it open, each such chunk is in fewer than ``LEAST_DOCS`` documents: a second pass lists the documents
+of these few chunks, found through a bit filter of at most ``MOST_BITS`` bits, and counts distinct ones.
 
 Terms are runs of ASCII letters and characters beyond ASCII, with A to Z lower-cased. A language keeps the
 terms that at least ``LEAST_DOCS`` of its documents hold. NULL text, language and source count as empty,
@@ -22,12 +25,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import count
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,13 +40,19 @@ from rankscope.llm.common import runs, slices, store
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCS = 10
 BEST_TERMS = 10
-BLOCK_CHARS = 4_000_000
+#: characters of texts that are cut in one go, and rows that a task holds before it hands them on
+SLICE_CHARS = 4_000_000
+HELD_ROWS = 1_500_000
 LONGEST_KEY = 64
 SPAN = 256
 PART_ROWS = 500_000
 CELLS = 2_000_000
+#: terms that a join broadcasts, after they were counted
+BROADCAST_ROWS = 1_000_000
+SALTS = 16
+MOST_BITS = 1 << 28
 
-_BLOCK = "block string, lang string, source string, chunk string, whole string, n long, docs array<int>"
+_ROW = "lang string, chunk string, whole string, docs long, sources array<string>, counts array<long>"
 
 
 def _keys(chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -57,71 +66,192 @@ def _keys(chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
     return pa.array(keys, pa.string()), pa.array(whole, pa.string())
 
 
-def _block(name: str, texts: list[str | None], langs: list[str | None], sources: list[str | None]) -> pa.RecordBatch:
-    """The chunks of a few documents, each with its documents, by language and source."""
-    pairs: dict[tuple[str, str], int] = {}
-    group = np.array([pairs.setdefault((a or "", b or ""), len(pairs)) for a, b in zip(langs, sources, strict=True)], np.int64)
+def _cut(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]:
+    """Chunks of texts: the text and the distinct chunk of each, the distinct chunks' keys, and the long ones whole."""
     cut = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.string()))
-    doc = pc.list_parent_indices(cut).to_numpy().astype(np.int64)
+    text = pc.list_parent_indices(cut).to_numpy().astype(np.int64)
     coded = cut.flatten().dictionary_encode()
     chunk = coded.indices.to_numpy().astype(np.int64)
     filled = np.flatnonzero(pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)[chunk])
-    doc, chunk = doc[filled], chunk[filled]
+    return text[filled], chunk[filled], *_keys(coded.dictionary)
+
+
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+
+
+def _counted(texts: list[str | None], langs: list[str | None], sources: list[str | None]) -> pa.Table:
+    """Occurrences and documents of each chunk by language and source."""
+    pairs: dict[tuple[str, str], int] = {}
+    group = np.array([pairs.setdefault((a or "", b or ""), len(pairs)) for a, b in zip(langs, sources, strict=True)], np.int64)
+    text, chunk, keys, whole = _cut(texts)
     # by chunk, then group, then document
-    place = (chunk * len(pairs) + group[doc]) * len(texts) + doc
-    place, times = np.unique(place, return_counts=True)
+    place, times = np.unique((chunk * len(pairs) + group[text]) * len(texts) + text, return_counts=True)
     cell = place // len(texts)
-    starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else np.zeros(0, np.int64)
-    first = cell[starts]
-    keys, whole = _keys(coded.dictionary)
-    at = pa.array(first // len(pairs))
-    names = [pa.array([p[k] for p in pairs], pa.string()).take(pa.array(first % len(pairs))) for k in (0, 1)]
-    numbers = pa.array((place % len(texts)).astype(np.int32))
+    starts = _starts(cell)
+    at, pair = pa.array(cell[starts] // len(pairs)), pa.array(cell[starts] % len(pairs))
+    named = [pa.array([p[k] for p in pairs], pa.string()).take(pair) for k in (0, 1)]
+    n = np.add.reduceat(times, starts) if len(starts) else np.zeros(0, np.int64)
+    docs = np.diff(np.append(starts, len(cell)))
+    return pa.table([*named, keys.take(at), whole.take(at), pa.array(n), pa.array(docs)], ["lang", "source", "chunk", "whole", "n", "docs"])
+
+
+def _packed(tables: list[pa.Table]) -> pa.RecordBatch:
+    """The counts of several tables added up: one row for each language and chunk, its sources in lists."""
+    table = pa.concat_tables(tables)
+    codes, names = {}, {}
+    for name in ("lang", "source", "chunk"):
+        column = table.column(name).combine_chunks().dictionary_encode()
+        codes[name], names[name] = column.indices.to_numpy().astype(np.int64), column.dictionary
+    langs, sources = max(1, len(names["lang"])), max(1, len(names["source"]))
+    row = codes["chunk"] * langs + codes["lang"]
+    order = np.argsort(row * sources + codes["source"], kind="stable")
+    row, source = row[order], codes["source"][order]
+    cells = _starts(row * sources + source)
+    heads = _starts(row[cells])
+    n, docs = (table.column(c).to_numpy()[order] for c in ("n", "docs"))
+    if len(cells):
+        n = np.add.reduceat(n, cells)
+        docs = np.add.reduceat(docs, cells[heads])
+    bounds = pa.array(np.append(heads, len(cells)).astype(np.int32))
+    first = row[cells[heads]]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([name] * len(starts), pa.string()), *names, keys.take(at), whole.take(at),
-            pa.array(np.add.reduceat(times, starts) if len(starts) else np.zeros(0, np.int64)),
-            pa.ListArray.from_arrays(pa.array(np.append(starts, len(place)).astype(np.int32)), numbers),
+            names["lang"].take(pa.array(first % langs)), names["chunk"].take(pa.array(first // langs)),
+            table.column("whole").combine_chunks().take(pa.array(order[cells[heads]])), pa.array(docs),
+            pa.ListArray.from_arrays(bounds, names["source"].take(pa.array(source[cells]))),
+            pa.ListArray.from_arrays(bounds, pa.array(n)),
         ],
-        ["block", "lang", "source", "chunk", "whole", "n", "docs"],
+        ["lang", "chunk", "whole", "docs", "sources", "counts"],
     )
 
 
-def chunk_rows(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row for each block, language, source and chunk: occurrences, and the documents' numbers in the block."""
+def chunk_rows(docs: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
+    """One row for each task, language and chunk: its documents, and its occurrences by source."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, numbers = TaskContext.get().partitionId(), count()
+        held: list[pa.Table] = []
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("text", "lang", "source")]
-            for part in slices(columns[0], block_chars):
-                yield _block(f"{task}-{next(numbers)}", *[c[part] for c in columns])
+            for part in slices(columns[0], SLICE_CHARS):
+                held.append(_counted(*[c[part] for c in columns]))
+                if sum(len(t) for t in held) >= held_rows:
+                    yield _packed(held)
+                    held = []
+        if held:
+            yield _packed(held)
 
-    return docs.select("text", "lang", "source").mapInArrow(run, _BLOCK)
+    return docs.select("text", "lang", "source").mapInArrow(run, _ROW)
 
 
 def lowered(text: Column) -> Column:
     return F.translate(text, ascii_uppercase, ascii_lowercase)
 
 
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """``(chunk, term, times)``: every distinct chunk is cut into terms once."""
-    distinct = chunks.groupBy("chunk").agg(F.max("whole").alias("whole"))
-    found = F.regexp_extract_all(F.coalesce("whole", "chunk"), F.lit(f"({TERM})"), F.lit(1))
-    terms = distinct.select("chunk", F.explode(found).alias("term")).withColumn("term", lowered(F.col("term")))
-    return terms.groupBy("chunk", "term").agg(F.count("*").alias("times"))
+def cut_chunks(docs: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
+    """A row for each distinct chunk: its ``terms``, and ``found`` with its documents and sources by language.
+
+    One shuffle by chunk; a chunk comes from a task once, and what is collected is bounded by the sources.
+    """
+    cells = F.arrays_zip("sources", "counts")
+    apart = chunk_rows(docs, held_rows).repartition("chunk").select("*", F.posexplode(cells).alias("place", "cell"))
+    by_source = apart.groupBy("chunk", "lang", F.col("cell.sources").alias("source")).agg(
+        F.sum("cell.counts").alias("n"), F.sum(F.when(F.col("place") == 0, F.col("docs"))).alias("docs"), F.max("whole").alias("whole")
+    )
+    by_lang = by_source.groupBy("chunk", "lang").agg(
+        F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("cells"), F.max("whole").alias("whole")
+    )
+    whole = by_lang.groupBy("chunk").agg(F.max("whole").alias("whole"), F.collect_list(F.struct("lang", "docs", "cells")).alias("found"))
+    words = F.regexp_extract_all(F.coalesce("whole", "chunk"), F.lit(f"({TERM})"), F.lit(1))
+    return whole.select("chunk", words.alias("terms"), "found").filter(F.size("terms") > 0)
+
+
+def _by_term(cut: DataFrame) -> DataFrame:
+    """``(lang, term, chunk, docs, cells)``, a row for each time that a chunk holds a term."""
+    rows = cut.select("chunk", "terms", F.inline("found"))
+    each = rows.select("lang", F.explode("terms").alias("term"), "chunk", "docs", "cells")
+    return each.withColumn("term", lowered(F.col("term")))
+
+
+def _positions(chunks: list[str], bits: int) -> np.ndarray:
+    """Two places in the filter for each chunk."""
+    digests = np.array([xxhash.xxh3_64_intdigest(c.encode()) for c in chunks], np.uint64)
+    return np.stack([digests, (digests >> np.uint64(32)) | (digests << np.uint64(32))]) % np.uint64(bits)
+
+
+def chunk_filter(chunks: DataFrame, bits: int) -> np.ndarray:
+    """A bit for each place of the distinct ``chunk`` values, as bytes. Tasks send words of 32 bits that are not 0."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = np.unique(_positions(batch.column("chunk").to_pylist(), bits)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(places // 32), pa.array(1 << (places % 32))], ["word", "bits"])
+
+    words = chunks.select("chunk").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    filled = np.zeros(bits // 32, "<u4")
+    filled[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+    return np.unpackbits(filled.view(np.uint8), bitorder="little") if bits <= 1 << 24 else filled.view(np.uint8)
+
+
+def chunk_documents(docs: DataFrame, filled: np.ndarray, bits: int) -> DataFrame:
+    """``(lang, chunk, doc)`` of the chunks whose places in the filter are set; ``doc`` numbers the rows."""
 
+    def passes(chunks: list[str]) -> np.ndarray:
+        places = _positions(chunks, bits).astype(np.int64)
+        if len(filled) == bits:
+            return filled[places].all(axis=0)
+        return ((filled[places // 8] >> (places % 8).astype(np.uint8)) & 1).all(axis=0)
 
-def term_counts(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``(lang, source, term, n, docs)``: occurrences and documents of every term of the corpus."""
-    chunks = store(chunk_rows(docs, block_chars))
-    # both sides are read from files, so adaptive execution can split a chunk that is in every block
-    joined = chunks.join(store(chunk_terms(chunks)), "chunk")
-    in_block = joined.groupBy("block", "lang", "source", "term").agg(
-        F.sum(F.col("n") * F.col("times")).alias("n"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("docs")))).alias("docs"),
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
+            for part in slices(texts, SLICE_CHARS):
+                text, chunk, keys, _ = _cut(texts[part])
+                wanted = np.flatnonzero(passes(keys.to_pylist())[chunk]) if len(chunk) else np.zeros(0, np.int64)
+                text, chunk = np.unique(np.stack([text[wanted], chunk[wanted]]), axis=1)
+                lang = pa.array([x or "" for x in langs[part]], pa.string()).take(pa.array(text))
+                yield pa.RecordBatch.from_arrays([lang, keys.take(pa.array(chunk)), pa.array(text + first)], ["lang", "chunk", "doc"])
+                first += part.stop - part.start
+
+    return docs.select("text", "lang").mapInArrow(run, "lang string, chunk string, doc long")
+
+
+def kept_terms(docs: DataFrame, cut: DataFrame, least_docs: int) -> DataFrame:
+    """``(lang, term, lang_n)`` of the terms that enough documents of the language hold."""
+    n = F.aggregate("cells", F.lit(0).cast("long"), lambda total, cell: total + cell["n"])
+    bounds = _by_term(cut).withColumn("n", n).groupBy("lang", "term").agg(
+        F.max("docs").alias("least"), F.sum("docs").alias("most"), F.sum("n").alias("lang_n")
+    )
+    likely = store(bounds.filter(F.col("most") >= least_docs))
+    sure = likely.filter(F.col("least") >= least_docs).select("lang", "term", "lang_n")
+    doubtful = likely.filter(F.col("least") < least_docs).select("lang", "term", "lang_n")
+    if not doubtful.limit(1).count():
+        return sure
+    of_chunk = store(
+        _by_term(cut).filter(F.col("docs") < least_docs).select("lang", "term", "chunk").distinct().join(doubtful, ["lang", "term"])
     )
-    return in_block.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    bits = 1 << min(MOST_BITS.bit_length() - 1, max(16, (16 * of_chunk.count()).bit_length()))
+    listed = store(chunk_documents(docs, chunk_filter(of_chunk, bits), bits))
+    held = of_chunk.join(listed, ["lang", "chunk"]).groupBy("lang", "term", "lang_n", "doc").count()
+    enough = held.groupBy("lang", "term", "lang_n").agg(F.count("*").alias("docs")).filter(F.col("docs") >= least_docs)
+    return sure.unionByName(enough.select("lang", "term", "lang_n"))
+
+
+def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS, held_rows: int = HELD_ROWS) -> DataFrame:
+    """``(lang, source, term, n, lang_n)`` of the kept terms where a source has them."""
+    cut = store(cut_chunks(docs, held_rows))
+    kept = store(kept_terms(docs, cut, least_docs))
+    rows, keys = _by_term(cut).drop("docs"), ["lang", "term"]
+    if kept.count() <= BROADCAST_ROWS:
+        kept = F.broadcast(kept)
+    else:
+        # a term in very many chunks is spread, and added up in its tasks before the last shuffle
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(SALTS)).cast("int"))
+        kept, keys = kept.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*keys, "salt"]
+    found = rows.join(kept, keys).select("lang", "term", "lang_n", F.inline("cells"))
+    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.max("lang_n").alias("lang_n"))
 
 
 def _probability(n: Column) -> Column:
@@ -200,13 +330,10 @@ def _matrix(
     return sums, len(used)
 
 
-def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, held_rows: int = HELD_ROWS) -> DataFrame:
     """``(lang, source, part, item, value, rank)``: each group against its language's other sources and all of it."""
     names = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
-    counts = store(term_counts(docs, block_chars))
-    of_term = Window.partitionBy("lang", "term")
-    held = counts.withColumns({"all_docs": F.sum("docs").over(of_term), "lang_n": F.sum("n").over(of_term)})
-    kept = store(held.filter(F.col("all_docs") >= least_docs).select("lang", "source", "term", "n", "lang_n"))
+    kept = store(term_counts(docs, least_docs, held_rows))
 
     # a row for each group; a language has as many rows here as it has sources
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))

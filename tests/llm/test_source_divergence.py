@@ -57,7 +57,7 @@ def test_equals_brute_force_on_odd_rows(spark):
         rows.append((text, ["en", "de", None, ""][i % 4], ["s1", "s2", None, "", "é", "S1"][rng.integers(0, 6)]))
     rows += [("the same words", "en", "s1")] * 30 + [("word " * 5000, "en", "s2")]
     full = [(*r, 1, "t", "d") for r in rows]
-    assert audited(spark, full, least_docs=3, block_chars=400) == brute(rows, 3)
+    assert audited(spark, full, least_docs=3, held_rows=40) == brute(rows, 3)
 
 
 def test_more_sources_than_a_span(spark):
@@ -92,10 +92,28 @@ def test_matrix_equals_loops():
     assert seen == len(used)
 
 
-@pytest.mark.parametrize("chars", [1, 50, 10**9])
-def test_blocks_share_no_document_and_lose_none(spark, chars):
-    docs = spark.createDataFrame([(f"w{i % 3} same same", "en", "s") for i in range(40)], "text string, lang string, source string")
-    rows = sd.chunk_rows(docs.coalesce(1), chars).collect()
-    assert sum(r.n for r in rows if r.chunk == "same") == 80
-    assert sum(len(r.docs) for r in rows if r.chunk == "same") == 40
-    assert all(len(set(r.docs)) == len(r.docs) for r in rows)
+@pytest.mark.parametrize("held", [1, 10**9])
+def test_chunks_are_counted_whole(spark, held):
+    rows = [(f"w{i % 3} same same", "en", f"s{i % 2}") for i in range(40)] + [("same", "de", "s1"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    cut = {r.chunk: r for r in sd.cut_chunks(docs.repartition(4), held).collect()}
+    assert sorted(cut) == ["same", "w0", "w1", "w2"] and cut["w0"].terms == ["w"]
+    found = {f.lang: (f.docs, {c.source: c.n for c in f.cells}) for f in cut["same"].found}
+    assert found == {"en": (40, {"s0": 40, "s1": 40}), "de": (1, {"s1": 1})}
+
+
+@pytest.mark.parametrize("bits", [1 << 16, 1 << 25])
+def test_filter_passes_all_that_it_holds_and_little_else(spark, bits):
+    held = spark.createDataFrame([(f"held{i}",) for i in range(500)], "chunk string")
+    docs = spark.createDataFrame([(f"held{i} other{i} held{i}", "en") for i in range(500)], "text string, lang string")
+    found = sd.chunk_documents(docs.repartition(3), sd.chunk_filter(held, bits), bits).collect()
+    mine = [r for r in found if r.chunk.startswith("held")]
+    assert len({r.doc for r in mine}) == len(mine) == 500 and len(found) < 520
+
+
+def test_documents_of_several_chunks_count_once(spark):
+    # each chunk is in fewer documents than are needed; together four and three
+    rows = [("Aa aa", "en", "x"), ("aa. AA", "en", "x"), ("(aa)", "en", "y"), ("aa!", "en", "y")]
+    rows += [("Bb bb", "en", "x"), ("bb. BB", "en", "x"), ("(bb)", "en", "y")] + [("cc", "en", "x")] * 4
+    found = audited(spark, [(*r, 0, "", "") for r in rows], least_docs=4)
+    assert found == brute(rows, 4) and {r[3] for r in found if r[2] == "term"} == {"aa", "cc"}
