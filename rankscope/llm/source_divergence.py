@@ -156,21 +156,22 @@ def cut_chunks(docs: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
     """
     cells = F.arrays_zip("sources", "counts")
     apart = chunk_rows(docs, held_rows).repartition("chunk").select("*", F.posexplode(cells).alias("place", "cell"))
-    by_source = apart.groupBy("chunk", "lang", F.col("cell.sources").alias("source")).agg(
-        F.sum("cell.counts").alias("n"), F.sum(F.when(F.col("place") == 0, F.col("docs"))).alias("docs"), F.max("whole").alias("whole")
+    # a chunk's long form is a key, not an aggregate, so that the sums stay in a hash table
+    by_source = apart.groupBy("chunk", "whole", "lang", F.col("cell.sources").alias("source")).agg(
+        F.sum("cell.counts").alias("n"), F.sum(F.when(F.col("place") == 0, F.col("docs")).otherwise(0)).alias("docs")
     )
-    by_lang = by_source.groupBy("chunk", "lang").agg(
-        F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("cells"), F.max("whole").alias("whole")
+    by_lang = by_source.groupBy("chunk", "whole", "lang").agg(
+        F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.collect_list(F.struct("source", "n")).alias("cells")
     )
-    whole = by_lang.groupBy("chunk").agg(F.max("whole").alias("whole"), F.collect_list(F.struct("lang", "docs", "cells")).alias("found"))
+    whole = by_lang.groupBy("chunk", "whole").agg(F.collect_list(F.struct("lang", "docs", "n", "cells")).alias("found"))
     words = F.regexp_extract_all(F.coalesce("whole", "chunk"), F.lit(f"({TERM})"), F.lit(1))
     return whole.select("chunk", words.alias("terms"), "found").filter(F.size("terms") > 0)
 
 
 def _by_term(cut: DataFrame) -> DataFrame:
-    """``(lang, term, chunk, docs, cells)``, a row for each time that a chunk holds a term."""
+    """``(lang, term, chunk, docs, n, cells)``, a row for each time that a chunk holds a term."""
     rows = cut.select("chunk", "terms", F.inline("found"))
-    each = rows.select("lang", F.explode("terms").alias("term"), "chunk", "docs", "cells")
+    each = rows.select("lang", F.explode("terms").alias("term"), "chunk", "docs", "n", "cells")
     return each.withColumn("term", lowered(F.col("term")))
 
 
@@ -210,7 +211,8 @@ def chunk_documents(docs: DataFrame, filled: np.ndarray, bits: int) -> DataFrame
             for part in slices(texts, SLICE_CHARS):
                 text, chunk, keys, _ = _cut(texts[part])
                 wanted = np.flatnonzero(passes(keys.to_pylist())[chunk]) if len(chunk) else np.zeros(0, np.int64)
-                text, chunk = np.unique(np.stack([text[wanted], chunk[wanted]]), axis=1)
+                many = max(1, len(keys))
+                text, chunk = np.divmod(np.unique(text[wanted] * many + chunk[wanted]), many)
                 lang = pa.array([x or "" for x in langs[part]], pa.string()).take(pa.array(text))
                 yield pa.RecordBatch.from_arrays([lang, keys.take(pa.array(chunk)), pa.array(text + first)], ["lang", "chunk", "doc"])
                 first += part.stop - part.start
@@ -220,8 +222,7 @@ def chunk_documents(docs: DataFrame, filled: np.ndarray, bits: int) -> DataFrame
 
 def kept_terms(docs: DataFrame, cut: DataFrame, least_docs: int) -> DataFrame:
     """``(lang, term, lang_n)`` of the terms that enough documents of the language hold."""
-    n = F.aggregate("cells", F.lit(0).cast("long"), lambda total, cell: total + cell["n"])
-    bounds = _by_term(cut).withColumn("n", n).groupBy("lang", "term").agg(
+    bounds = _by_term(cut).groupBy("lang", "term").agg(
         F.max("docs").alias("least"), F.sum("docs").alias("most"), F.sum("n").alias("lang_n")
     )
     likely = store(bounds.filter(F.col("most") >= least_docs))
@@ -232,7 +233,7 @@ def kept_terms(docs: DataFrame, cut: DataFrame, least_docs: int) -> DataFrame:
     of_chunk = store(
         _by_term(cut).filter(F.col("docs") < least_docs).select("lang", "term", "chunk").distinct().join(doubtful, ["lang", "term"])
     )
-    bits = 1 << min(MOST_BITS.bit_length() - 1, max(16, (16 * of_chunk.count()).bit_length()))
+    bits = 1 << min(MOST_BITS.bit_length() - 1, max(16, (32 * of_chunk.count()).bit_length()))
     listed = store(chunk_documents(docs, chunk_filter(of_chunk, bits), bits))
     held = of_chunk.join(listed, ["lang", "chunk"]).groupBy("lang", "term", "lang_n", "doc").count()
     enough = held.groupBy("lang", "term", "lang_n").agg(F.count("*").alias("docs")).filter(F.col("docs") >= least_docs)
@@ -243,7 +244,7 @@ def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS, held_rows: int =
     """``(lang, source, term, n, lang_n)`` of the kept terms where a source has them."""
     cut = store(cut_chunks(docs, held_rows))
     kept = store(kept_terms(docs, cut, least_docs))
-    rows, keys = _by_term(cut).drop("docs"), ["lang", "term"]
+    rows, keys = _by_term(cut).drop("docs", "n"), ["lang", "term"]
     if kept.count() <= BROADCAST_ROWS:
         kept = F.broadcast(kept)
     else:
