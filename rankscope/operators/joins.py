@@ -5,27 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankscope.sources.stored import stored
+
+#: the longest list of heavy entities that is broadcast
+MOST_HEAVY = 100_000
+#: places over which rows spread that need no partner from the shuffle
+SPREAD = 4096
+
+
+def heavy_entities(profile: DataFrame, key: str, rows: str, rows_per_task: int) -> DataFrame:
+    """The entities with more than ``rows_per_task`` fact rows, the largest ``MOST_HEAVY`` of them at most."""
+    return profile.filter(F.col(rows) > rows_per_task).orderBy(F.desc(rows), key).limit(MOST_HEAVY)
+
 
 def left_join_by_entity(
     fact: DataFrame, profile: DataFrame, key: str, rows: str, rows_per_task: int = 2_000_000
 ) -> DataFrame:
     """Left join of ``fact`` with ``profile`` on ``key``; ``profile`` has one row per key.
 
-    ``rows`` is the profile column with the number of fact rows of the key. A key is spread over one
-    salt for each ``rows_per_task`` of its rows, and its profile row repeated as often: the profile is
-    an aggregate by the key, and adaptive execution does not split a join whose side is partitioned
-    by an aggregate. At most one key in ``rows_per_task`` rows needs more than one salt. Rows with a
-    NULL key match nothing and bypass the join.
+    ``rows`` is the profile column with the number of fact rows of the key. The profile is evaluated once
+    and stored. Its heavy keys are a short list, which is broadcast: their rows have their profile before
+    the shuffle. They and rows with a NULL key then go through it under a spread number that no light key
+    has, so ``fact`` is read once, shuffled once, and no task gets a heavy key. Where the light profiles are small
+    the planner broadcasts them too, and nothing is shuffled.
     """
-    salts = F.greatest(F.lit(1), F.ceil(F.col(rows) / rows_per_task)).cast("int")
-    salted = profile.filter(F.col(key).isNotNull()).withColumn("__salts", salts)
-    heavy = salted.filter("__salts > 1").select(key, "__salts")
-    others = F.xxhash64(*[c for c in fact.columns if c != key])
-    spread = F.pmod(others, F.coalesce("__salts", F.lit(1))).cast("int")
-    known = fact.filter(F.col(key).isNotNull()).join(heavy, key, "left")
-    left = known.withColumn("__salt", spread).drop("__salts")
-    repeats = F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))
-    right = salted.withColumn("__salt", repeats).drop("__salts", rows)
-    joined = left.join(right, [key, "__salt"], "left").drop("__salt")
-    unknown = fact.filter(F.col(key).isNull())
-    return joined.unionByName(unknown, allowMissingColumns=True)
+    profile = stored(profile.filter(F.col(key).isNotNull()))
+    values = [c for c in profile.columns if c not in (key, rows)]
+    heavy = stored(heavy_entities(profile, key, rows, rows_per_task).select(key, F.struct(*values).alias("__heavy")))
+    others = [c for c in fact.columns if c != key]
+    marked = fact.join(F.broadcast(heavy), key, "left")
+    alone = F.col("__heavy").isNotNull() | F.col(key).isNull()
+    spread = F.when(alone, 1 + F.pmod(F.xxhash64(*others), F.lit(SPREAD))).otherwise(0).cast("int")
+    light = profile.join(F.broadcast(heavy), key, "left_anti").select(
+        key, F.lit(0).alias("__spread"), F.struct(*values).alias("__light")
+    )
+    joined = marked.withColumn("__spread", spread).join(light, [key, "__spread"], "left")
+    found = [F.coalesce(f"__heavy.{c}", f"__light.{c}").alias(c) for c in values]
+    return joined.select(key, *others, *found)

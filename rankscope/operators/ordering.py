@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankscope.sources.stored import stored
+
 
 def hash_order(keys: Sequence[str], seed: int) -> Column:
     """A seeded order that depends only on the row's key, equal on every run and layout.
@@ -31,6 +33,31 @@ BINS_PER_DOUBLING = 64
 KEYS_PER_BIN = 65_536
 
 
+#: starts of bins that a join broadcasts, after they were counted
+BROADCAST_ROWS = 1_000_000
+
+
+def rank_in_bins(
+    df: DataFrame, groups: Sequence[str], bins: Mapping[str, Column], ahead: Sequence[Column], order: Sequence, rank: str
+) -> DataFrame:
+    """Row number per group along ``order``, where ``bins`` cut a group into consecutive stretches.
+
+    ``ahead`` orders the bins of a group. The input is evaluated and shuffled once: rows get their number
+    inside their bin and are stored; the rows of the bins that come before are added from the bins' counts,
+    a table of one row per group and bin. No group of ``groups`` may be NULL.
+    """
+    keys = [*groups, *bins]
+    within = Window.partitionBy(*keys).orderBy(*order)
+    held = stored(df.withColumns(dict(bins)).withColumn("__row", F.row_number().over(within)))
+    counts = held.groupBy(*keys).agg(F.max("__row").cast("long").alias("__n"))
+    earlier = Window.partitionBy(*groups).orderBy(*ahead).rowsBetween(Window.unboundedPreceding, -1)
+    starts = stored(counts.select(*keys, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")))
+    if starts.count() <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
+    place = F.col("__before") + F.col("__row")
+    return held.join(starts, keys).withColumn(rank, place).select(*df.columns, rank)
+
+
 def rank_by_score(
     df: DataFrame, groups: Sequence[str], score: str, key: str, rank: str
 ) -> DataFrame:
@@ -41,23 +68,12 @@ def rank_by_score(
     """
     s, low = F.col(score), F.col(score) < EXACT_BELOW
     steps = F.floor(F.log2(F.greatest(s, F.lit(1)).cast("double")) * BINS_PER_DOUBLING)
-    binned = df.withColumns(
-        {
-            "__bin": F.when(low, s).otherwise(steps + EXACT_BELOW).cast("long"),
-            "__part": F.when(low, F.floor(F.col(key) / KEYS_PER_BIN)).otherwise(0).cast("long"),
-        }
-    )
-    bins = [*groups, "__bin", "__part"]
-    counts = binned.groupBy(*bins).agg(F.count("*").alias("__n"))
-    ahead = Window.partitionBy(*groups).orderBy(F.desc("__bin"), "__part")
-    before = F.sum("__n").over(ahead.rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__n")
-    within = Window.partitionBy(*bins).orderBy(F.desc(score), key)
-    return (
-        binned.join(starts, bins)
-        .withColumn(rank, (F.col("__before") + F.row_number().over(within)).cast("int"))
-        .select(*df.columns, rank)
-    )
+    bins = {
+        "__bin": F.when(low, s).otherwise(steps + EXACT_BELOW).cast("long"),
+        "__part": F.when(low, F.floor(F.col(key) / KEYS_PER_BIN)).otherwise(0).cast("long"),
+    }
+    ranked = rank_in_bins(df, groups, bins, [F.desc("__bin"), F.col("__part")], [F.desc(score), key], rank)
+    return ranked.withColumn(rank, F.col(rank).cast("int"))
 
 
 def hash_bin(name: str, digits: int = 3) -> Column:
@@ -65,6 +81,11 @@ def hash_bin(name: str, digits: int = 3) -> Column:
     return F.substring(name, 1, digits)
 
 
+def hash_draw(name: Column) -> Column:
+    """The first 52 bits of a hash in hex as a number from 0 to 1, which a double holds exactly."""
+    return F.conv(F.substring(name, 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
 def bin_offsets(
     df: DataFrame, group: str, bin_column: str, totals: Mapping[str, Column]
 ) -> DataFrame:
@@ -86,15 +107,6 @@ def bin_offsets(
 def rank_in_group(
     df: DataFrame, group: str, order: str, rank: str = "row_in_group", digits: int = 3
 ) -> DataFrame:
-    """Row number inside ``group`` along a hash column, from 1.
-
-    ``group`` must not be NULL. The join and the window share one shuffle by group and bin.
-    """
-    binned = df.withColumn("__bin", hash_bin(order, digits))
-    offsets = bin_offsets(binned, group, "__bin", {"n": F.count("*")})
-    within = Window.partitionBy(group, "__bin").orderBy(order)
-    return (
-        binned.join(offsets.select(group, "__bin", "n_before"), [group, "__bin"])
-        .withColumn(rank, F.col("n_before") + F.row_number().over(within))
-        .select(*df.columns, rank)
-    )
+    """Row number inside ``group`` along a hash column, from 1. ``group`` must not be NULL."""
+    bins = {"__bin": hash_bin(order, digits)}
+    return rank_in_bins(df, [group], bins, [F.col("__bin")], [order], rank)

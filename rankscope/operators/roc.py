@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,29 +22,17 @@ def score_counts(
     )
 
 
-def score_splits(counts: DataFrame, bins: int = 256) -> list[float]:
-    """At most ``bins`` cut points that spread the distinct scores evenly.
-
-    They only balance the work; every choice of cuts gives the same curve. They become constants of
-    the plan, so that all its branches put a score in the same bin.
-    """
-    cuts = counts.approxQuantile("score", [i / bins for i in range(1, bins)], 0.25 / bins)
-    return [float("-inf"), *sorted(set(cuts) or {0.0}), float("inf")]
-
-
-def running_counts(counts: DataFrame, bins: int = 256) -> DataFrame:
+def running_counts(counts: DataFrame, bins: int = 128) -> DataFrame:
     """Adds ``tp`` and ``fp``, the counts down to each score, and the fold totals.
 
-    The bins run from high scores to low. Totals before a bin come from a table of one row per fold
-    and bin, so no task sorts a whole fold.
+    A fold's distinct scores are cut into at most ``bins`` even stretches, from high scores to low; the cuts
+    are a sketch of the fold, made inside the plan, and only balance the work. Totals before a stretch come
+    from a table of one row per fold and stretch, so no task sorts a whole fold.
     """
-    splits = score_splits(counts, bins)
-    low_first = Bucketizer(splits=splits, inputCol="score", outputCol="__low")
-    binned = (
-        low_first.transform(counts)
-        .withColumn("__bin", (F.lit(len(splits)) - F.col("__low")).cast("int"))
-        .drop("__low")
-    )
+    shares = [i / bins for i in range(1, bins)]
+    cuts = counts.groupBy("fold_id").agg(F.percentile_approx("score", shares, 8 * bins).alias("__cuts"))
+    above = F.size(F.filter("__cuts", lambda cut: cut > F.col("score")))
+    binned = counts.join(cuts, "fold_id").withColumn("__bin", above).drop("__cuts")
     totals = {"pos": F.sum("pos"), "neg": F.sum("neg")}
     offsets = bin_offsets(binned, "fold_id", "__bin", totals).drop("pos_in", "neg_in")
     within = Window.partitionBy("fold_id", "__bin").orderBy(F.desc("score"))

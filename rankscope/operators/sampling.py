@@ -1,8 +1,8 @@
 """Stratified samples and folds, and the checks on them.
 
-The default forms order rows by a seeded hash of their natural key, so a sample is the same on every
-cluster layout and after any lost executor. The engine's own seeded forms depend on the layout; they
-are here under their own names.
+All but two order or draw rows by a seeded hash of their natural key, so a sample is the same on every
+cluster layout and after any lost executor. The engine's own seeded forms (``assign_folds_random``,
+``with_running_id``) depend on the layout.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rankscope import vocabulary as v
 from rankscope.functions.aggregates import null_count
 from rankscope.operators.cohort import strata_from_counts
-from rankscope.operators.ordering import bin_offsets, hash_bin, hash_order, rank_in_group
+from rankscope.operators.ordering import bin_offsets, hash_bin, hash_draw, hash_order, rank_in_group
 
 #: what tells two chart rows apart
 KEYS = ("country", "artist_uri", "date", "rank", "days_on_chart")
@@ -29,11 +29,16 @@ def sample_bernoulli(
     people: DataFrame,
     table: DataFrame,
     stratum: str = "partition_id",
+    keys: Sequence[str] = KEYS,
     seed: int = v.SEED,
 ) -> DataFrame:
-    """Each row kept with its stratum's fraction. Its size varies around the target."""
+    """Each row kept with its stratum's fraction. Its size varies around the target.
+
+    The draw of a row is the seeded hash of its key as a number from 0 to 1, so a sample is the same on
+    every layout and after any retried task. Rows that repeat all keys are kept or left together.
+    """
     fractions = table.select(stratum, F.col("fraction").alias("__fraction"))
-    kept = people.join(fractions, stratum).filter(F.rand(seed) < F.col("__fraction"))
+    kept = people.join(fractions, stratum).filter(hash_draw(hash_order(keys, seed)) < F.col("__fraction"))
     return kept.select(*people.columns)
 
 
@@ -49,6 +54,7 @@ def sample_exact(
 
     The rows per stratum and hash bin say in which bin a stratum reaches its quota. Rows in later
     bins are dropped where they are read; only the kept ones are shuffled and ranked, bin by bin.
+    ``people`` is read once for the counts and once for the rows: give it a stored table.
     """
     hashed = people.withColumn("__hash", hash_order(keys, seed)).withColumn(
         "__bin", hash_bin("__hash", digits)

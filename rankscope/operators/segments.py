@@ -113,7 +113,17 @@ def composition(
     percent: bool = False,
 ) -> DataFrame:
     """Rows per cluster, one column per stratum; with ``percent`` each row adds up to 100."""
-    cells = clustered.groupBy(row, column).count()
+    return composition_of(clustered.groupBy(row, column).count(), strata, row, column, percent)
+
+
+def composition_of(
+    cells: DataFrame,
+    strata: Sequence[str],
+    row: str = "prediction",
+    column: str = "partition_id",
+    percent: bool = False,
+) -> DataFrame:
+    """``composition`` of counted cells: ``row``, ``column`` and ``count``."""
     value = F.first("count")
     if percent:
         of_row = F.sum("count").over(Window.partitionBy(row))

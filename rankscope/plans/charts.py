@@ -2,23 +2,35 @@
 
 Each table ranks all entities per market and period by a whole-number score (ties to the smaller
 key) and adds the history of an entity in its market. Ranks are found through bins of the score, so
-a market-day of any size is no hotspot; in the history, a group has at most one row per period.
+a market-day of any size is no hotspot; in the history, a group has at most one row per period. Each chart
+is written at its first use in an application and read back by every later query on the same files.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankscope import vocabulary as v
 from rankscope.operators.ordering import rank_by_score
 from rankscope.sources.readers import with_release_lag
+from rankscope.sources.stored import stored_once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _once(
+    spark: SparkSession, sf_dir: str, name: str, tables: Sequence[str], build: Callable[[], DataFrame], keys: Sequence[str]
+) -> DataFrame:
+    """A derived chart, written at its first use and read by all later ones."""
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
+    return stored_once(spark, name, paths, build, keys)
+
+
 def ranked(scores: DataFrame) -> DataFrame:
     """``(fecha, pais, key, score)`` rows with their rank per date and market."""
     return rank_by_score(scores, ["fecha", "pais"], "score", "key", "rank").drop("score")
@@ -82,13 +94,11 @@ def _artist() -> dict[str, Column]:
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = with_history(
-        ranked(_daily_scores(spark, sf_dir)),
-        F.date_sub("fecha", 1),
-        "days_on_chart",
-        "consecutive_days",
-    )
-    return history.withColumns(_artist())
+    def build() -> DataFrame:
+        scores = ranked(_daily_scores(spark, sf_dir))
+        return with_history(scores, F.date_sub("fecha", 1), "days_on_chart", "consecutive_days")
+
+    return _once(spark, sf_dir, "daily", ["events"], build, ["fecha"]).withColumns(_artist())
 
 
 def daily_best(spark: SparkSession, sf_dir: str, ranks: int) -> DataFrame:
@@ -178,12 +188,13 @@ def _shipped(spark: SparkSession, sf_dir: str, unit: str, market: str) -> DataFr
 
 def weekly_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts ranked per supplier region and week, with their history."""
-    return with_history(
-        ranked(_shipped(spark, sf_dir, "week", "region")),
-        F.date_sub("fecha", 7),
-        "weeks_on_chart",
-        "consecutive_weeks",
-    ).withColumns(
+
+    def build() -> DataFrame:
+        scores = ranked(_shipped(spark, sf_dir, "week", "region"))
+        return with_history(scores, F.date_sub("fecha", 7), "weeks_on_chart", "consecutive_weeks")
+
+    tables = ["lineitem", "supplier", "nation", "region"]
+    return _once(spark, sf_dir, "weekly", tables, build, ["fecha"]).withColumns(
         {
             "album_uri": F.format_string("album:%d", "key"),
             "album_name": F.format_string("Album %d", "key"),
@@ -237,13 +248,13 @@ def weekly_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monthly_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts ranked per supplier nation and month, in the columns of the cohort study."""
-    monthly = with_history(
-        ranked(_shipped(spark, sf_dir, "month", "nation")),
-        F.add_months("fecha", -1),
-        "days_on_chart",
-        "consecutive_days",
-    )
-    return monthly.select(
+
+    def build() -> DataFrame:
+        scores = ranked(_shipped(spark, sf_dir, "month", "nation"))
+        return with_history(scores, F.add_months("fecha", -1), "days_on_chart", "consecutive_days")
+
+    tables = ["lineitem", "supplier", "nation"]
+    return _once(spark, sf_dir, "monthly", tables, build, ["fecha"]).select(
         F.col("fecha").alias("date"),
         F.col("pais").alias("country"),
         "rank",

@@ -35,6 +35,7 @@ from rankscope.plans.studies import (
 )
 from rankscope.session import kept
 from rankscope.sources import readers
+from rankscope.sources.stored import stored_once, tables_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -303,16 +304,27 @@ def duplicates(spark, sf_dir):
 # The cohort study on the monthly chart.
 
 
+def _once(spark, sf_dir, name, tables, build, keys=()):
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
+    return stored_once(spark, f"{name} {SETTINGS}", paths, build, keys)
+
+
+MONTHLY = ("lineitem", "supplier", "nation")
+
+
 def _people(spark, sf_dir):
-    return study_population(charts.monthly_chart(spark, sf_dir), SETTINGS)
+    def build():
+        return study_population(charts.monthly_chart(spark, sf_dir), SETTINGS)
+
+    return _once(spark, sf_dir, "people", MONTHLY, build, ["partition_id"])
 
 
 def _drawn(spark, sf_dir):
-    return study_sample(_people(spark, sf_dir), SETTINGS)
+    return _once(spark, sf_dir, "drawn", MONTHLY, lambda: study_sample(_people(spark, sf_dir), SETTINGS))
 
 
 def _with_folds(spark, sf_dir):
-    return study_folds(_drawn(spark, sf_dir), SETTINGS)
+    return _once(spark, sf_dir, "folded", MONTHLY, lambda: study_folds(_drawn(spark, sf_dir), SETTINGS))
 
 
 @query
@@ -458,7 +470,10 @@ def per_class(spark, sf_dir):
 
 
 def _running(spark, sf_dir):
-    return roc.running_counts(roc.score_counts(charts.predictions(spark, sf_dir)))
+    def build():
+        return roc.running_counts(roc.score_counts(charts.predictions(spark, sf_dir)))
+
+    return _once(spark, sf_dir, "running", ("documents", "labels"), build)
 
 
 @query
@@ -512,93 +527,98 @@ def best_fold(spark, sf_dir):
 # Fitted models: seeded, so compared by tolerance tests rather than with SQL.
 
 
-def _cross_validated(spark, sf_dir, result):
-    """``result`` of a cross validation at the setting that tuning on fold 0 selects."""
-    with kept(_with_folds(spark, sf_dir)) as sample:
-        featured, model = forest.add_features(sample)
-        forest.check_bins(model)
-        positive = forest.positive_label(forest.label_names(model))
-        with kept(featured) as features:
-            chosen = forest.tune(features, SETTINGS.grid, positive=positive).first()
-            cv = forest.cross_validate(
-                features, chosen["numTrees"], chosen["maxDepth"], positive=positive
-            )
-            table = small(result(cv, features))
-            cv.release()
-    return table
+def _fitted(spark, sf_dir, name, build):
+    """The result tables of a fit on the monthly sample; fitted once for all queries on the same files."""
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in MONTHLY]
+    return tables_once(spark, f"{name} {SETTINGS}", paths, build)
+
+
+def _cross_validated(spark, sf_dir):
+    """Tables of a cross validation at the setting that tuning on fold 0 selects."""
+
+    def build():
+        with kept(_with_folds(spark, sf_dir)) as sample:
+            featured, model = forest.add_features(sample)
+            forest.check_bins(model)
+            positive = forest.positive_label(forest.label_names(model))
+            with kept(featured) as features:
+                tuned = forest.tune(features, SETTINGS.grid, positive=positive)
+                chosen = tuned.first()
+                cv = forest.cross_validate(features, chosen["numTrees"], chosen["maxDepth"], positive=positive)
+                baseline = evaluation.majority_baseline(evaluation.label_counts(features))
+                made = {
+                    "tuning": tuned, "metrics": small(cv.metrics), "importances": cv.importances, "baseline": small(baseline),
+                }
+                cv.release()
+        return made
+
+    return _fitted(spark, sf_dir, "forest", build)
 
 
 @query
 def forest_cv(spark, sf_dir):
-    return _cross_validated(spark, sf_dir, lambda cv, _: cv.metrics)
+    return _cross_validated(spark, sf_dir)["metrics"]
 
 
 @query
 def forest_vs_baseline(spark, sf_dir):
-    def compare(cv, features):
-        baseline = evaluation.majority_baseline(evaluation.label_counts(features))
-        return evaluation.model_vs_baseline(cv.metrics, baseline)
-
-    return _cross_validated(spark, sf_dir, compare)
+    tables = _cross_validated(spark, sf_dir)
+    return evaluation.model_vs_baseline(tables["metrics"], tables["baseline"])
 
 
 @query
 def importance(spark, sf_dir):
-    return _cross_validated(spark, sf_dir, lambda cv, _: forest.importance_summary(cv.importances))
+    return forest.importance_summary(_cross_validated(spark, sf_dir)["importances"])
 
 
 @query
 def tuning(spark, sf_dir):
-    with kept(_with_folds(spark, sf_dir)) as sample:
-        featured, model = forest.add_features(sample)
-        positive = forest.positive_label(forest.label_names(model))
-        with kept(featured) as features:
-            return forest.tune(features, SETTINGS.grid, positive=positive)
+    return _cross_validated(spark, sf_dir)["tuning"]
 
 
-def _scaled_rows(spark, sf_dir, result):
-    with kept(_with_folds(spark, sf_dir)) as sample:
-        scaled_rows, scaler = segments.scale(sample)
-        columns = [segments.SCALED, "partition_id", *v.CLUSTER_FEATURES]
-        with kept(scaled_rows.select(*columns)) as rows:
-            return small(result(rows, scaler))
+def _clustered(spark, sf_dir):
+    """Tables of the sweep over k and of the clustering that it selects."""
 
+    def build():
+        with kept(_with_folds(spark, sf_dir)) as sample:
+            scaled_rows, scaler = segments.scale(sample)
+            columns = [segments.SCALED, "partition_id", *v.CLUSTER_FEATURES]
+            with kept(scaled_rows.select(*columns)) as rows:
+                fit = segments.cluster(rows, scaler)
+                cells = fit.clustered.groupBy("prediction", "partition_id").count()
+                return {
+                    "sweep": fit.sweep, "centroids": small(fit.centroids), "sizes": small(fit.sizes), "cells": small(cells),
+                }
 
-def _clustered(spark, sf_dir, result):
-    return _scaled_rows(spark, sf_dir, lambda rows, scaler: result(segments.cluster(rows, scaler)))
+    return _fitted(spark, sf_dir, "clusters", build)
 
 
 @query
 def kmeans_sweep(spark, sf_dir):
-    return _scaled_rows(spark, sf_dir, lambda rows, _: segments.sweep(rows))
+    return _clustered(spark, sf_dir)["sweep"]
 
 
 @query
 def clusters(spark, sf_dir):
-    return _clustered(spark, sf_dir, lambda c: c.centroids)
+    return _clustered(spark, sf_dir)["centroids"]
 
 
 @query
 def cluster_composition(spark, sf_dir):
-    return _clustered(
-        spark, sf_dir, lambda c: segments.composition(c.clustered, STRATA, percent=True)
-    )
+    cells = _clustered(spark, sf_dir)["cells"]
+    return segments.composition_of(cells, STRATA, percent=True)
 
 
 @query
 def cluster_totals(spark, sf_dir):
     """Rows and percent over all clusters of the fit."""
     totals = [F.sum("count").alias("rows"), F.sum("pct").alias("pct")]
-    return _clustered(spark, sf_dir, lambda c: c.sizes.agg(*totals))
+    return _clustered(spark, sf_dir)["sizes"].agg(*totals)
 
 
 @query
 def cluster_strata(spark, sf_dir):
     """Rows per stratum over all clusters of the fit."""
-
-    def totals(fitted):
-        cells = segments.composition(fitted.clustered, STRATA)
-        rows = cells.unpivot(["prediction"], [f"`{s}`" for s in STRATA], "partition_id", "n")
-        return rows.groupBy("partition_id").agg(F.sum("n").alias("rows"))
-
-    return _clustered(spark, sf_dir, totals)
+    cells = segments.composition_of(_clustered(spark, sf_dir)["cells"], STRATA)
+    rows = cells.unpivot(["prediction"], [f"`{s}`" for s in STRATA], "partition_id", "n")
+    return rows.groupBy("partition_id").agg(F.sum("n").alias("rows"))
