@@ -36,8 +36,10 @@ def left_join_by_entity(
     marked = fact.join(F.broadcast(heavy), key, "left")
     alone = F.col("__heavy").isNotNull() | F.col(key).isNull()
     spread = F.when(alone, 1 + F.pmod(F.xxhash64(*others), F.lit(SPREAD))).otherwise(0).cast("int")
+    # always 0, but no literal: the optimizer would drop a literal from the keys that the rows are dealt by
+    zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
     light = profile.join(F.broadcast(heavy), key, "left_anti").select(
-        key, F.lit(0).alias("__spread"), F.struct(*values).alias("__light")
+        key, zero.alias("__spread"), F.struct(*values).alias("__light")
     )
     joined = marked.withColumn("__spread", spread).join(light, [key, "__spread"], "left")
     found = [F.coalesce(f"__heavy.{c}", f"__light.{c}").alias(c) for c in values]

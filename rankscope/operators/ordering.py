@@ -86,6 +86,19 @@ def hash_draw(name: Column) -> Column:
     return F.conv(F.substring(name, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
+def even_bins(counts: DataFrame, group: str, value: str, bins: int) -> DataFrame:
+    """Adds ``__bin``, from 0 up: at most ``bins`` stretches of ``value`` that share a group's rows evenly.
+
+    ``counts`` has a row for each group and distinct value. The cuts are a sketch of the group, made inside the
+    plan; they only balance the work, whatever values lie close together. ``group`` must not be NULL.
+    """
+    bins = max(2, bins)
+    shares = [i / bins for i in range(1, bins)]
+    cuts = counts.groupBy(group).agg(F.percentile_approx(value, shares, 8 * bins).alias("__cuts"))
+    below = F.size(F.filter("__cuts", lambda cut: cut < F.col(value)))
+    return counts.join(cuts, group).withColumn("__bin", below).drop("__cuts")
+
+
 def bin_offsets(
     df: DataFrame, group: str, bin_column: str, totals: Mapping[str, Column]
 ) -> DataFrame:

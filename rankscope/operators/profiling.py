@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DecimalType, NumericType
 
 from rankscope.functions.aggregates import distinct_rows, guarded_percent, null_count
 from rankscope.functions.parsing import malformed
-from rankscope.operators.ordering import bin_offsets
+from rankscope.operators.quantiles import exact_quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -92,33 +92,17 @@ def numeric_summary(
     return entries.select(F.inline("entries"))
 
 
-QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-
-
 def exact_quartiles(df: DataFrame) -> DataFrame:
     """The smallest value of each numeric column that a quarter, half and three quarters reach.
 
-    Rows are counted per value, and values are ranked in bins of their magnitude, so no task sorts a
-    whole column. NULL and NaN are left out.
+    One pass counts the values of all columns; no task sorts a whole column. NULL and NaN are left out.
     """
     pairs = [
         F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value"))
         for c in numeric_columns(df)
     ]
-    values = df.select(F.inline(F.array(*pairs))).filter("value is not null and not isnan(value)")
-    counts = values.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    magnitude = F.floor(F.log2(F.abs("value") + 1) * 32)
-    binned = counts.withColumn("__bin", (F.signum("value") * magnitude).cast("long"))
-    offsets = bin_offsets(binned, "column_name", "__bin", {"n": F.sum("n")}).drop("n_in")
-    within = Window.partitionBy("column_name", "__bin").orderBy("value")
-    reached = F.col("n_before") + F.sum("n").over(within)
-    ranked = binned.join(offsets, ["column_name", "__bin"]).withColumn("reached", reached)
-    return ranked.groupBy("column_name").agg(
-        *[
-            F.min(F.when(F.col("reached") >= F.ceil(F.col("n_all") * p), F.col("value"))).alias(name)
-            for name, p in QUARTILES.items()
-        ]
-    )
+    values = df.select(F.inline(F.array(*pairs)))
+    return exact_quantiles(values, ["column_name"], "value").drop("count")
 
 
 def table_summary(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankscope.operators.ordering import bin_offsets
+from rankscope.operators.ordering import bin_offsets, even_bins
 
 
 def score_counts(
@@ -29,10 +29,7 @@ def running_counts(counts: DataFrame, bins: int = 128) -> DataFrame:
     are a sketch of the fold, made inside the plan, and only balance the work. Totals before a stretch come
     from a table of one row per fold and stretch, so no task sorts a whole fold.
     """
-    shares = [i / bins for i in range(1, bins)]
-    cuts = counts.groupBy("fold_id").agg(F.percentile_approx("score", shares, 8 * bins).alias("__cuts"))
-    above = F.size(F.filter("__cuts", lambda cut: cut > F.col("score")))
-    binned = counts.join(cuts, "fold_id").withColumn("__bin", above).drop("__cuts")
+    binned = even_bins(counts, "fold_id", "score", bins).withColumn("__bin", -F.col("__bin"))
     totals = {"pos": F.sum("pos"), "neg": F.sum("neg")}
     offsets = bin_offsets(binned, "fold_id", "__bin", totals).drop("pos_in", "neg_in")
     within = Window.partitionBy("fold_id", "__bin").orderBy(F.desc("score"))

@@ -10,7 +10,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankscope import vocabulary as v
@@ -132,6 +132,98 @@ def composition_of(
     return cells.groupBy(row).pivot(column, list(strata)).agg(value).na.fill(0).orderBy(row)
 
 
+def assign(rows: DataFrame, centres: Sequence[Sequence[float]], columns: Sequence[str]) -> DataFrame:
+    """Adds ``prediction``, the nearest of the given centres (the first of equally near), and ``distance``,
+    the squared distance to it. Rows with a NULL coordinate get NULL for both."""
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    choices = []
+    for i, centre in enumerate(centres):
+        parts = [(F.col(c) - float(x)) * (F.col(c) - float(x)) for c, x in zip(columns, centre, strict=True)]
+        choices.append(F.struct(sum(parts[1:], parts[0]).alias("distance"), F.lit(i).alias("prediction")))
+    nearest = F.least(*choices) if len(choices) > 1 else choices[0]
+    return rows.withColumn("__nearest", F.when(known, nearest)).select(
+        "*", F.col("__nearest.prediction").alias("prediction"), F.col("__nearest.distance").alias("distance")
+    ).drop("__nearest")
+
+
+def cluster_moments(assigned: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per cluster: rows, ``cost``, the sum of each coordinate, and the sum of all squares; one pass, mergeable."""
+    squares = [F.col(c) * F.col(c) for c in columns]
+    return assigned.filter(F.col("prediction").isNotNull()).groupBy("prediction").agg(
+        F.count("*").alias("count"),
+        F.sum("distance").alias("cost"),
+        F.sum(sum(squares[1:], squares[0])).alias("squares"),
+        *[F.sum(c).alias(f"sum_{c}") for c in columns],
+    )
+
+
+def silhouette_column(moments: Sequence, columns: Sequence[str]) -> Column:
+    """The silhouette of a row with squared distances, from the moments of all clusters.
+
+    The mean squared distance of a row to a cluster follows from the cluster's count, sums and squares, so no
+    two rows meet. ``moments`` are the collected rows of ``cluster_moments``, one per cluster. 0 for the
+    only row of a cluster, as is usual; NULL where there is one cluster.
+    """
+    own = {c: F.col(c) for c in columns}
+    norm = sum((own[c] * own[c] for c in columns[1:]), own[columns[0]] * own[columns[0]])
+    mean = {}
+    for m in moments:
+        dot = F.lit(0.0)
+        for c in columns:
+            dot = dot + own[c] * float(m[f"sum_{c}"])
+        mean[m["prediction"]] = norm + (float(m["squares"]) - 2.0 * dot) / float(m["count"])
+    result = F.lit(None).cast("double")
+    for m in moments:
+        k, n = m["prediction"], float(m["count"])
+        others = [mean[j] for j in mean if j != k]
+        if not others:
+            continue
+        if n == 1:
+            value = F.lit(0.0)
+        else:
+            inside = mean[k] * (n / (n - 1))
+            nearest = F.least(*others) if len(others) > 1 else others[0]
+            value = F.coalesce(F.try_divide(nearest - inside, F.greatest(nearest, inside)), F.lit(0.0))
+        result = F.when(F.col("prediction") == k, value).otherwise(result)
+    return result
+
+
+def profile_clusters(
+    rows: DataFrame, centres: Sequence[Sequence[float]], columns: Sequence[str], original: Sequence[str] = ()
+) -> DataFrame:
+    """Per cluster of the given centres: size, percent, cost, mean silhouette, and the means of ``original``.
+
+    ``rows`` is read once for the moments, of which the driver gets one row per cluster, and once for the rest.
+    """
+    assigned = assign(rows, centres, columns)
+    moments = cluster_moments(assigned, columns).orderBy("prediction").collect()
+    total = F.sum("count").over(Window.partitionBy())
+    return (
+        assigned.filter(F.col("prediction").isNotNull())
+        .withColumn("__silhouette", silhouette_column(moments, columns))
+        .groupBy("prediction")
+        .agg(
+            F.count("*").alias("count"),
+            F.sum("distance").alias("cost"),
+            F.avg("__silhouette").alias("silhouette"),
+            *[F.avg(c).alias(c) for c in original],
+        )
+        .withColumn("pct", F.col("count") / total * 100)
+    )
+
+
+def score_clusters(profile: DataFrame) -> DataFrame:
+    """One row of the whole clustering: clusters that have rows, cost, and the mean silhouette of all rows."""
+    rows = F.sum("count")
+    return profile.agg(
+        F.count("*").alias("k"),
+        F.sum("cost").alias("inertia"),
+        F.try_divide(F.sum(F.col("silhouette") * F.col("count")), rows).alias("silhouette"),
+    )
+
+
 @dataclass
 class Clusters:
     """The final clustering and its tables."""

@@ -392,6 +392,10 @@ _LINE_TYPES = {
     "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
     "l_shipdate": "timestamp_ntz",
 }
+_PART_TYPES = {
+    "p_partkey": "int", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int",
+    "p_retailprice": "double",
+}
 _STRATA = [
     f"{tenure}-{scope}-{tier}"
     for tenure in ("Nuevo", "Veterano")
@@ -517,6 +521,70 @@ def _index_of(column: str) -> str:
   from folded group by {column}"""
 
 
+_COMPARED = f"""with {SAMPLE},
+shares as (select partition_id, count(*) as count_M,
+                  count(*) / sum(count(*)) over () as prop_M
+           from drawn group by partition_id)
+select strata.partition_id, "count" as count_P, round(probability, 6) as prop_P,
+       count_M, round(prop_M, 6) as prop_M,
+       round(abs(probability - prop_M) * 100, 6) as abs_diff_pct
+from strata join shares on shares.partition_id = strata.partition_id"""
+
+_FOLD_CHECKS = f"""with {FOLDED},
+per_fold as (select fold_id, count(*) as size, count(distinct partition_id) as strata
+             from folded group by fold_id),
+f as (select count(*) as folds_distintos, cast(sum(size) as bigint) as registros_asignados,
+             min(strata) as particiones_por_fold_min, min(size) as fold_min,
+             max(size) as fold_max from per_fold),
+s as (select count(distinct partition_id) as particiones_totales,
+             count(distinct id) as ids_distintos from folded)
+select *, folds_distintos = 5 and fold_max - fold_min <= 10 as five_balanced_folds,
+       ids_distintos = registros_asignados as unique_ids,
+       particiones_por_fold_min = particiones_totales as all_strata_in_folds
+from f cross join s"""
+
+_CLUSTER_COLUMNS = ("days_on_chart", "max_days_on_chart", "country_count_by_artist", "rank")
+_CENTRES = ((-0.8, -0.9, -0.7, 0.4), (0.9, 0.6, 0.5, -0.6), (0.1, 0.4, 0.8, 1.1))
+
+
+def _to_centre(point: str) -> str:
+    return " + ".join(f"(x{i} - {point}{i}) * (x{i} - {point}{i})" for i in range(4))
+
+
+def _to_cluster() -> str:
+    """Mean squared distance of a row to the rows of a cluster."""
+    squares = " + ".join(f"x{i} * x{i}" for i in range(4))
+    return f"{squares} + (q - 2 * ({' + '.join(f'x{i} * s{i}' for i in range(4))})) / n"
+
+
+_FIXED = f"""{FOLDED},
+points as (select id, {", ".join(_CLUSTER_COLUMNS)}, {", ".join(
+    f"({c} - avg({c}) over ()) / stddev_samp({c}) over () as x{i}" for i, c in enumerate(_CLUSTER_COLUMNS))}
+  from folded),
+centres(prediction, c0, c1, c2, c3) as (values {", ".join(f"({k}, {', '.join(f'{x}::double' for x in c)})" for k, c in enumerate(_CENTRES))}),
+nearest as (select *, {_to_centre("c")} as distance from points cross join centres
+  qualify row_number() over (partition by id order by distance, prediction) = 1),
+moments as (select prediction as cluster, count(*) as n, sum({" + ".join(f"x{i} * x{i}" for i in range(4))}) as q,
+  {", ".join(f"sum(x{i}) as s{i}" for i in range(4))} from nearest group by prediction),
+means as (select id, prediction, distance, cluster, n, {_to_cluster()} as mean from nearest cross join moments),
+silhouettes as (select id, case when max(case when cluster = prediction then n end) = 1 then 0 else
+    (min(case when cluster <> prediction then mean end) - max(case when cluster = prediction then mean * n / (n - 1) end))
+    / greatest(min(case when cluster <> prediction then mean end), max(case when cluster = prediction then mean * n / (n - 1) end)) end as s
+  from means group by id),
+fixed as (select cast(prediction as bigint) as prediction, count(*) as "count", sum(distance) as cost_, avg(s) as silhouette_,
+    round(sum(distance), 6) as cost, round(avg(s), 6) as silhouette,
+    round(count(*) / sum(count(*)) over () * 100, 6) as pct, {", ".join(f"avg({c}) as {c}" for c in _CLUSTER_COLUMNS)}
+  from nearest join silhouettes on silhouettes.id = nearest.id group by prediction)"""
+
+_TREE_SCORES = f"""with {FOLDED},
+shares as (select id,
+  case when days_on_chart <= 3 then case when max_days_on_chart <= 6 then 0.9 else 0.5 end else 0.2 end as a,
+  case when country_count_by_artist <= 14 then 0.75 else case when days_on_chart <= 5 then 0.5 else 0.15 end end as b,
+  0.75 as c from folded)
+select id, round(((a + b + c) / 3)::double, 6) as score_0, round(((3 - a - b - c) / 3)::double, 6) as score_1,
+  case when a + b + c >= 1.5 then 0.0 else 1.0 end::double as prediction from shares"""
+
+
 ORACLES: dict[str, str] = {
     "leaders": f"with {LEADERS} select * from leaders",
     "leader_share": f"""with {LEADER_SHARE}
@@ -643,6 +711,20 @@ ORACLES: dict[str, str] = {
         select s.partition_id, count(f.partition_id) as rows
         from (values {", ".join(f"('{s}')" for s in _STRATA)}) s(partition_id)
         left join folded f on f.partition_id = s.partition_id group by 1""",
+    "line_quartiles": """select l_returnflag, l_linestatus, count(*) as "count",
+        round(quantile_disc(l_extendedprice, 0.25), 6) as q25, round(quantile_disc(l_extendedprice, 0.5), 6) as q50,
+        round(quantile_disc(l_extendedprice, 0.75), 6) as q75 from lineitem group by all""",
+    "csv_round_trip": f"""with {DAILY_RAW}
+        select cast(fecha as varchar) as fecha, pais, cast(rank as bigint) as rank, artist_uri, artist_name,
+               peak_rank, previous_rank, cast(days_on_chart as bigint) as days_on_chart, consecutive_days,
+               entry_status, entry_rank, cast(entry_date as varchar) as entry_date from artists""",
+    "landed_months": f"""with {WEEKLY_RAW}
+        select strftime(fecha, '%Y-%m') as month, count(*) as rows, cast(min(fecha) as varchar) as first_date
+        from albums where strftime(fecha, '%Y-%m') >= '1998-01' group by 1""",
+    "inferred_profile": " union all ".join(
+        f"select {i}::bigint as ordinal, '{c}' as column_name, '{t}' as data_type, count({c}) as value_count from part"
+        for i, (c, t) in enumerate(_PART_TYPES.items(), start=1)
+    ),
     "duplicates": """select count(*) as duplicate_count from (
         select l_orderkey, l_linenumber from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1) d""",
@@ -663,14 +745,21 @@ ORACLES: dict[str, str] = {
         select partition_id, "count", round(probability, 6) as probability, n_i,
                round(fraction, 6) as fraction from strata""",
     "sample_exact": f"with {SAMPLE} select {_sample_row_columns()} from drawn",
-    "strata_compare": f"""with {SAMPLE},
-        shares as (select partition_id, count(*) as count_M,
-                          count(*) / sum(count(*)) over () as prop_M
-                   from drawn group by partition_id)
-        select strata.partition_id, "count" as count_P, round(probability, 6) as prop_P,
-               count_M, round(prop_M, 6) as prop_M,
-               round(abs(probability - prop_M) * 100, 6) as abs_diff_pct
-        from strata join shares on shares.partition_id = strata.partition_id""",
+    "strata_compare": _COMPARED,
+    "written_strata": _COMPARED,
+    "sample_bernoulli": f"""with {PEOPLE}
+        select {_sample_row_columns()} from (select people.*, fraction from people
+          join strata on strata.partition_id = people.partition_id) s
+        where ('0x' || substr(id, 1, 13))::bigint / 4503599627370496.0::double < fraction::double""",
+    "written_document": _FOLD_CHECKS.replace(
+        "select *, folds_distintos = 5", "select folds_distintos, fold_min, fold_max, folds_distintos = 5"
+    ),
+    "fixed_clusters": f"with {_FIXED}\nselect prediction, count, pct, cost, silhouette, "
+    + f"{_rounded(_CLUSTER_COLUMNS)} from fixed",
+    "fixed_cluster_score": f"""with {_FIXED}
+        select count(*) as k, round(sum(fixed.cost_), 6) as inertia,
+               round(sum(silhouette_ * "count") / sum("count"), 6) as silhouette from fixed""",
+    "tree_scores": _TREE_SCORES,
     "sample_checks": f"""with {SAMPLE},
         shares as (select partition_id, count(*) / sum(count(*)) over () as prop_M
                    from drawn group by partition_id),
@@ -701,18 +790,7 @@ ORACLES: dict[str, str] = {
         select partition_id, {", ".join(
             f'count(*) filter (where fold_id = {k}) as "{k}"' for k in range(5))}
         from folded group by partition_id""",
-    "fold_checks": f"""with {FOLDED},
-        per_fold as (select fold_id, count(*) as size, count(distinct partition_id) as strata
-                     from folded group by fold_id),
-        f as (select count(*) as folds_distintos, cast(sum(size) as bigint) as registros_asignados,
-                     min(strata) as particiones_por_fold_min, min(size) as fold_min,
-                     max(size) as fold_max from per_fold),
-        s as (select count(distinct partition_id) as particiones_totales,
-                     count(distinct id) as ids_distintos from folded)
-        select *, folds_distintos = 5 and fold_max - fold_min <= 10 as five_balanced_folds,
-               ids_distintos = registros_asignados as unique_ids,
-               particiones_por_fold_min = particiones_totales as all_strata_in_folds
-        from f cross join s""",
+    "fold_checks": _FOLD_CHECKS,
     "class_share": f"""with {FOLDED}
         select fold_id, rank_tier, count(*) as "count",
                round(count(*) / sum(count(*)) over (partition by fold_id) * 100, 6) as pct_fold

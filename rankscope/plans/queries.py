@@ -8,6 +8,7 @@ that results of two engines can be compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from rankscope import vocabulary as v
 from rankscope.functions.banding import all_strata
 from rankscope.functions.parsing import safe_date, safe_int
 from rankscope.operators import cohort, evaluation, facts, forest, leadership, profiling, releases
-from rankscope.operators import report, roc, sampling, segments, turnover
+from rankscope.operators import quantiles, report, roc, sampling, segments, trees, turnover
 from rankscope.plans import charts
 from rankscope.plans.studies import (
     StudySettings,
@@ -34,8 +35,8 @@ from rankscope.plans.studies import (
     study_sample,
 )
 from rankscope.session import kept
-from rankscope.sources import readers
-from rankscope.sources.stored import stored_once, tables_once
+from rankscope.sources import readers, sinks
+from rankscope.sources.stored import shared_folder, stored_once, tables_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -295,6 +296,53 @@ def numeric_quartiles(spark, sf_dir):
     return profiling.exact_quartiles(charts.table(spark, sf_dir, "lineitem"))
 
 
+@query
+def line_quartiles(spark, sf_dir):
+    """Exact quartiles of prices in groups that hold up to half of all rows."""
+    lines = charts.table(spark, sf_dir, "lineitem")
+    return quantiles.exact_quantiles(lines, ["l_returnflag", "l_linestatus"], "l_extendedprice")
+
+
+LANDED_FROM = "1998-01"
+
+# Files: what a user starts with and ends with, written and read back.
+
+
+def _fresh(spark, name):
+    return f"{shared_folder(spark)}/rankscope-{name}-{uuid4()}"
+
+
+def _as_text(spark, raw, columns):
+    """A raw chart written as gzip CSV and read back, every column a string."""
+    path = _fresh(spark, "raw.csv")
+    sinks.write_text_csv(raw, path)
+    return readers.read_text_csv(spark, path, columns)
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    raw = _as_text(spark, charts.daily_raw(spark, sf_dir), v.ARTISTS_DAILY_COLUMNS)
+    return readers.artists_daily(raw)
+
+
+@query
+def inferred_profile(spark, sf_dir):
+    """Types found by inference in a CSV file, and what its columns hold."""
+    path = _fresh(spark, "part.csv")
+    sinks.write_text_csv(charts.table(spark, sf_dir, "part"), path, gzip=False)
+    return profiling.schema_rows(readers.read_inferred_csv(spark, path)).drop("nullable")
+
+
+@query
+def landed_months(spark, sf_dir):
+    """Rows of the landed weekly chart from a month on; only these months' folders are read."""
+    path = _fresh(spark, "landed")
+    raw = _as_text(spark, charts.weekly_raw(spark, sf_dir), v.ALBUMS_WEEKLY_COLUMNS)
+    sinks.land_chart(readers.albums_weekly(raw), path)
+    later = spark.read.parquet(path).filter(F.col("month") >= LANDED_FROM)
+    return later.groupBy("month").agg(F.count("*").alias("rows"), F.min("fecha").alias("first_date"))
+
+
 @query
 def duplicates(spark, sf_dir):
     lines = charts.table(spark, sf_dir, "lineitem")
@@ -366,6 +414,26 @@ def strata_compare(spark, sf_dir):
     return sampling.compare_strata(strata(spark, sf_dir), _drawn(spark, sf_dir))
 
 
+@query
+def written_strata(spark, sf_dir):
+    """The comparison as a result file and back, with its column types."""
+    folder = _fresh(spark, "results")
+    sinks.write_tables({"strata": strata_compare(spark, sf_dir)}, folder)
+    return sinks.read_table(spark, folder, "strata")
+
+
+@query
+def written_document(spark, sf_dir):
+    """Sample and fold checks as one JSON document and back."""
+    path = _fresh(spark, "document")
+    checks = fold_checks(spark, sf_dir).select(
+        F.struct("folds_distintos", "fold_min", "fold_max").alias("folds"),
+        F.struct("unique_ids", "all_strata_in_folds", "five_balanced_folds").alias("integrity"),
+    )
+    sinks.write_document(checks, path)
+    return sinks.read_document(spark, path).select("folds.*", "integrity.*")
+
+
 @query
 def sample_checks(spark, sf_dir):
     return sampling.sample_checks(
@@ -428,6 +496,43 @@ def scaled(spark, sf_dir):
     return segments.scaled_columns(rows, ["id"])
 
 
+#: centres in the scaled space of the four cluster features, and a small forest over three of them
+CENTRES = ((-0.8, -0.9, -0.7, 0.4), (0.9, 0.6, 0.5, -0.6), (0.1, 0.4, 0.8, 1.1))
+FOREST = {
+    0: [(0, 0, 3.0, 1, 2, (50, 50)), (1, 1, 6.0, 3, 4, (30, 10)), (2, None, None, None, None, (8, 32)),
+        (3, None, None, None, None, (27, 3)), (4, None, None, None, None, (5, 5))],
+    1: [(0, 2, 14.0, 1, 2, (60, 40)), (1, None, None, None, None, (45, 15)), (2, 0, 5.0, 3, 4, (15, 25)),
+        (3, None, None, None, None, (10, 10)), (4, None, None, None, None, (3, 17))],
+    2: [(0, None, None, None, None, (3, 1))],
+}
+
+
+def _fixed_clusters(spark, sf_dir):
+    rows, _ = segments.scale(_with_folds(spark, sf_dir))
+    names = [f"{c}_scaled" for c in v.CLUSTER_FEATURES]
+    flat = segments.scaled_columns(rows, v.CLUSTER_FEATURES)
+    return segments.profile_clusters(flat, CENTRES, names, v.CLUSTER_FEATURES)
+
+
+@query
+def fixed_clusters(spark, sf_dir):
+    """Sizes, cost, silhouette and centroids of clusters around given centres."""
+    return _fixed_clusters(spark, sf_dir)
+
+
+@query
+def fixed_cluster_score(spark, sf_dir):
+    return segments.score_clusters(_fixed_clusters(spark, sf_dir))
+
+
+@query
+def tree_scores(spark, sf_dir):
+    """The sample scored by a given forest, held as a table of nodes."""
+    rows = _with_folds(spark, sf_dir)
+    features = F.array(*[F.col(c).cast("double") for c in v.CLUSTER_FEATURES[:3]])
+    return trees.score_trees(rows, trees.fixed_nodes(spark, FOREST), "id", features, classes=2)
+
+
 @query
 def run_summary(spark, sf_dir):
     """Sample and folds of the study, then the fixed classifier's scores."""

@@ -51,6 +51,17 @@ def land_chart(chart: DataFrame, path: str, date: str = "fecha") -> None:
     write_parquet(monthly.hint("rebalance", "month"), path, ["month"])
 
 
+def write_text_csv(df: DataFrame, path: str, gzip: bool = True) -> None:
+    """A table of any size as CSV files with headers, as raw tables come; text is kept to the space.
+
+    Each file is written by a task of its own. Gzip files cannot be split by a later reader, so there are many.
+    """
+    writer = df.write.mode("overwrite").option("header", True).option("compression", "gzip" if gzip else "none")
+    for side in ("Leading", "Trailing"):
+        writer = writer.option(f"ignore{side}WhiteSpace", False)
+    writer.csv(path)
+
+
 def write_table_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header. Only for result tables, which hold tens of rows."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -17,13 +17,14 @@ MARKETS = {"market_diagnostics", "market_anomalies", "market_volatility", "marke
 COHORT = {
     "entity_profile", "population", "strata", "sample_exact", "strata_compare", "sample_checks",
     "folds", "fold_sizes", "split_sizes", "fold_pivot", "fold_checks", "class_share", "composition", "run_summary",
+    "sample_bernoulli", "written_strata", "written_document", "fixed_clusters", "fixed_cluster_score", "tree_scores",
 }
 FITTED = {
     "forest_cv", "forest_vs_baseline", "importance", "tuning", "kmeans_sweep", "clusters",
     "cluster_composition",
 }
 FITTED_WITH_SQL = {"cluster_totals", "cluster_strata"}
-SKETCHED = {"numeric_summary", "sample_bernoulli"}
+SKETCHED = {"numeric_summary"}
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +66,18 @@ def test_leader_plan_cuts_before_the_shuffle_and_reads_four_columns(spark):
     assert "props" not in plan and "event_id" not in plan
 
 
+@pytest.mark.parametrize("name", ["population", "sample_exact", "folds", "scaled", "strata", "band_permanence", "auc"])
+def test_stored_intermediates_are_read_not_built_again(spark, name):
+    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= plan.count("FileScan parquet") <= 2
+    assert "lineitem" not in plan and "events.parquet" not in plan
+
+
+def test_landed_chart_is_read_by_month(spark):
+    plan = entry.queries()["landed_months"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+
+
 @pytest.mark.parametrize("name", ["null_profile", "schema_rows", "numeric_summary", "table_profile"])
 def test_profiles_read_their_table_once(spark, name):
     plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()

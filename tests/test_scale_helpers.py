@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rankscope.operators import cohort, ordering, sampling
+from rankscope.operators import cohort, joins, ordering, sampling
 from rankscope.operators.joins import left_join_by_entity
 from rankscope.operators.ordering import hash_order, rank_in_group
 
@@ -44,13 +44,53 @@ def test_spread_join_equals_plain_join(spark, rows_per_task):
     assert spread.filter("artist_uri is null and artist_tenure is null").count() == 40
 
 
-def test_spread_join_salts_the_hot_key(spark):
+def test_spread_join_reads_and_shuffles_the_fact_once(spark, tmp_path):
+    skewed(spark).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    profile = cohort.entity_profile(fact, rows="__rows")
+    plain = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in plain}
+    for key, value in plain.items():
+        spark.conf.set(key, value)
+    try:
+        joined = left_join_by_entity(fact, profile, "artist_uri", "__rows", rows_per_task=100)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f"{tmp_path}/fact") == 1
+        assert plan.count("Exchange hashpartitioning") == 2  # the fact and the light profiles
+        parts = joined.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert max(r["count"] for r in parts) < ROWS / 4
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("most", [0, 1])
+def test_list_of_heavy_entities_is_bounded(spark, monkeypatch, most):
+    monkeypatch.setattr(joins, "MOST_HEAVY", most)
     fact = skewed(spark)
     profile = cohort.entity_profile(fact, rows="__rows")
-    joined = left_join_by_entity(fact, profile, "artist_uri", "__rows", rows_per_task=100)
-    plan = joined._jdf.queryExecution()
-    assert "__salt" in plan.optimizedPlan().toString()
-    assert "ResolvedHint" not in plan.analyzed().toString()
+    assert joins.heavy_entities(profile, "artist_uri", "__rows", 5).count() == most
+    spread = left_join_by_entity(fact, profile, "artist_uri", "__rows", 5)
+    plain = fact.join(profile.drop("__rows"), "artist_uri", "left").select(spread.columns)
+    assert Counter(spread.collect()) == Counter(plain.collect())
+
+
+def test_a_ranking_evaluates_its_input_once(spark, tmp_path):
+    """What comes back reads the numbered rows and the starts of the bins, not the input."""
+    skewed(spark).withColumn("h", hash_order(["n"], 7)).write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    plan = rank_in_group(df, "country", "h")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and f"{tmp_path}/in" not in plan
+    assert "Exchange" not in plan.replace("BroadcastExchange", "")
+
+
+def test_a_hot_group_is_ranked_in_many_parts(spark):
+    """One group holds all rows; no task numbers more than a small part of them."""
+    df = spark.range(20_000).select(F.lit("g").alias("g"), F.md5(F.col("id").cast("string")).alias("h"))
+    ranked = rank_in_group(df, "g", "h", "r", digits=2)
+    assert ranked.agg(F.count_distinct("r"), F.min("r"), F.max("r")).first() == (20_000, 1, 20_000)
+    largest = df.groupBy("g", ordering.hash_bin("h", 2)).count().agg(F.max("count")).first()[0]
+    assert largest < 20_000 / 100
 
 
 def test_population_puts_unknown_artists_in_short_strata(spark):
@@ -184,14 +224,18 @@ def test_train_and_test_rows_part_the_sample(spark):
     assert {r[0] for r in test.select("fold_id").distinct().collect()} == {2}
 
 
-def test_bernoulli_sample_is_near_its_target_and_repeatable(spark):
-    df = people(spark)
+def test_bernoulli_sample_is_near_its_target_on_every_layout(spark):
+    df, keys = people(spark), ("country", "artist_uri", "date", "n")
     table = cohort.strata(df, 600)
-    sample = sampling.sample_bernoulli(df, table)
-    assert abs(sample.count() - 600) < 120
-    assert sorted(r.n for r in sample.collect()) == sorted(
-        r.n for r in sampling.sample_bernoulli(df, table).collect()
-    )
+    sample = sampling.sample_bernoulli(df, table, keys=keys)
+    drawn = sorted(r.n for r in sample.collect())
+    assert abs(len(drawn) - 600) < 120
+    again = sampling.sample_bernoulli(df.repartition(3, "n"), table, keys=keys)
+    assert drawn == sorted(r.n for r in again.collect())
+    other = sampling.sample_bernoulli(df, table, keys=keys, seed=7)
+    assert drawn != sorted(r.n for r in other.collect())
+    everything = sampling.sample_bernoulli(df, cohort.strata(df, 10**9), keys=keys)
+    assert everything.count() == df.count()
 
 
 def test_complete_rows_and_checks(spark):
