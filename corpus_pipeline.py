@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,18 +23,17 @@ LEAST_SHARE = 0.35
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without letters or without a likely language; fills a missing language."""
-    said = language_cnn.language(language_network(docs), F.col("text"))
-    name = f"said_{uuid4().hex}"  # no column of the documents
-    rows = docs.withColumn(name, said)
-    kept = rows.filter((F.col(name).lang_pred != "und") & (F.col(name).score >= LEAST_SHARE))
-    return kept.withColumn("lang", F.coalesce("lang", F.col(name).lang_pred)).select(docs.columns)
+    """Drops texts without letters or without a likely language; fills a missing language.
+
+    Where no row has a language to learn from, every text with a letter stays.
+    """
+    return language_cnn.keep_known(docs, language_network(docs), LEAST_SHARE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays, that of the smallest id; rows without id stay.
 
-    Rows that repeat an id come down to one.
+    Rows that repeat an id come down to one, the smallest by its columns in their order.
     """
     classes = store(ngram_join.near_classes(docs))
     gone = store(classes.filter("doc_id <> component_id").select("doc_id").distinct())
@@ -46,7 +43,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     if not repeated.limit(1).count():
         return kept
     once = kept.join(repeated, "doc_id", "left_anti")
-    twice = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    smallest = F.min(F.struct(*docs.columns)).alias("row")
+    twice = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(smallest).select("row.*")
     return once.unionByName(twice).select(docs.columns)
 
 

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from rankscope.llm.common import slices
+from rankscope.llm.common import released, slices
 
 NO_PAIR = np.int32(2**31 - 1)
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 20, 24, 32, 48, 64, 96, 128, 192, 256, 512, 1024)
@@ -323,7 +323,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, ids])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(released(run), schema)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:

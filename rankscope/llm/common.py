@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import suppress
 from functools import lru_cache
 from uuid import uuid4
 
@@ -26,16 +29,44 @@ def store(df: DataFrame) -> DataFrame:
 
     Later steps read the files, so a lost executor costs none of the work before this point. A grouped
     table that is stored before it joins the rows of its keys also lets adaptive execution split the
-    join of a hot key, which it does not do where a side is still partitioned by the grouping. Only
-    where that setting is absent, as in tests on one machine, is a temporary folder made.
+    join of a hot key, which it does not do where a side is still partitioned by the grouping. Where
+    that setting is absent a temporary folder of this machine is taken in a local session, as in tests; on a
+    cluster that raises, since other machines could not read it.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", "") or _local_folder()
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master or 'the cluster'} share")
+        folder = _local_folder()
     path = f"{folder.rstrip('/')}/rankscope-llm-{uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``, after which the worker gives its free memory back.
+
+    A worker outlives its task. What an earlier operator freed stays with the allocators, and operators that
+    follow each other in one application would add up to more than any of them needs.
+    """
+
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # a C library without it keeps the pages
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def hex_number(text: Column, first: int, digits: int) -> Column:
     """``digits`` (15 at most) hex digits of ``text`` from position ``first`` as a number."""
     return F.conv(F.substring(text, first, digits), 16, 10).cast("long")

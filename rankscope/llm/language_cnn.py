@@ -13,14 +13,17 @@ teach nothing; with no labelled row every text is ``und``. Repeated rows get equ
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankscope.llm.common import slices
+from rankscope.llm.common import released, slices
 
 WINDOW = 256
 EMBED = 8
@@ -215,6 +218,29 @@ def predict_texts(net: Network | None, texts: list[str | None]) -> list[tuple[st
     return out
 
 
+def keep_known(docs: DataFrame, net: Network | None, least_share: float, text: str = "text", lang: str = "lang") -> DataFrame:
+    """Rows whose text has a letter and a language with at least ``least_share``; a NULL ``lang`` is filled.
+
+    One pass through Python decides and fills. With no network (nothing to learn from) every row with a letter
+    stays, and ``lang`` as it is.
+    """
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(names.index(text)).to_pylist()
+            if net is None:
+                said = [(None, 1.0 if t and _LETTER(t) else -1.0) for t in texts]
+            else:
+                said = [(name, -1.0 if name == "und" else share) for name, share in predict_texts(net, texts)]
+            keep = pa.array([share >= least_share for _, share in said], pa.bool_())
+            filled = pc.coalesce(batch.column(names.index(lang)), pa.array([name for name, _ in said], pa.string()))
+            columns = [filled if i == names.index(lang) else batch.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, names).filter(keep)
+
+    return docs.mapInArrow(released(run), docs.schema)
+
+
 def language(net: Network | None, text: Column) -> Column:
     """A struct of ``lang_pred`` and ``score`` for a text column."""
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankscope.llm.common import slices, store, strings
+from rankscope.llm.common import released, slices, store, strings
 from rankscope.llm.components import components
 
 WORDS = 5
@@ -162,7 +162,7 @@ def _sketch(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         )
 
     schema = "piece int, counts binary"
-    total = docs.select("text").mapInArrow(count, schema).repartition("piece").mapInArrow(add, schema)
+    total = docs.select("text").mapInArrow(released(count), schema).repartition("piece").mapInArrow(add, schema)
     pieces = {r["piece"]: np.frombuffer(r["counts"], np.int64) for r in total.collect()}
     last = (1 << CELL_BITS) // CHUNK
     empty = np.zeros(CHUNK, np.int64)
@@ -276,7 +276,7 @@ def _entries(docs: DataFrame, cells: np.ndarray, limit: int) -> DataFrame:
         ("doc_id", pa.int64()), ("n", pa.int32()), ("mark", pa.binary()), ("centre", pa.float64()),
         ("bands", longs), ("subsets", longs), ("sides", pa.list_(pa.int32())), ("firsts", longs),
     ])
-    return docs.mapInArrow(run, ENTRY_SCHEMA)
+    return docs.mapInArrow(released(run), ENTRY_SCHEMA)
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -361,7 +361,7 @@ def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"]
             )
 
-    sets = store(docs.join(named, "doc_id", "left_semi").mapInArrow(make, "doc_id long, shingles binary"))
+    sets = store(docs.join(named, "doc_id", "left_semi").mapInArrow(released(make), "doc_id long, shingles binary"))
     spread = pairs.groupBy("p").agg(F.ceil(F.count("*") / CHECKED_TOGETHER).cast("int").alias("runs"))
     cut = pairs.join(store(spread), "p").select(
         "p", "d", F.pmod(F.xxhash64("d"), F.col("runs")).cast("int").alias("run")
@@ -398,7 +398,7 @@ def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                     [pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"]
                 )
 
-    return rows.mapInArrow(check, "a long, b long")
+    return rows.mapInArrow(released(check), "a long, b long")
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

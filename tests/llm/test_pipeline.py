@@ -47,3 +47,32 @@ def test_odd_rows_pass_every_stage(spark, odd_docs):
     assert corpus_pipeline.encode_tokens(spark, odd_docs, TINY).count() == odd_docs.count()
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd_docs.limit(0), TINY).count() == 0
+
+
+def test_language_stage_passes_texts_to_python_once(spark):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+    plan = corpus_pipeline.identify_language(spark, docs, TINY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
+def test_without_labels_every_text_with_a_letter_stays(spark):
+    rows = [(1, "some words", None, "a"), (2, "12 !", None, "a"), (3, None, None, "b"), (None, "mots", None, None), (4, "", None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = corpus_pipeline.identify_language(spark, docs, TINY)
+    assert sorted((r.text, r.lang) for r in kept.collect()) == [("mots", None), ("some words", None)]
+
+
+def test_one_row_of_a_repeated_id_stays_on_every_layout(spark):
+    rows = [(i % 3, f"text number {i} of a repeated id {'x ' * i}", "en", f"s{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = [sorted(map(tuple, corpus_pipeline.drop_near_copies(spark, docs.repartition(n), TINY).collect())) for n in (1, 4)]
+    assert found[0] == found[1] and [r[0] for r in found[0]] == [0, 1, 2]
+
+
+def test_store_refuses_a_folder_of_one_machine_on_a_cluster():
+    from types import SimpleNamespace
+
+    values = {"spark.master": "spark://host:7077"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: values.get(key, default)))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        store(SimpleNamespace(sparkSession=session))
