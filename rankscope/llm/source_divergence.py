@@ -35,14 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankscope.llm.common import runs, slices, store
+from rankscope.llm.common import released, runs, slices, store
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCS = 10
 BEST_TERMS = 10
 #: characters of texts that are cut in one go, and rows that a task holds before it hands them on
-SLICE_CHARS = 4_000_000
-HELD_ROWS = 1_500_000
+SLICE_CHARS = 2_000_000
+HELD_ROWS = 1_000_000
 LONGEST_KEY = 64
 SPAN = 256
 PART_ROWS = 500_000
@@ -142,7 +142,7 @@ def chunk_rows(docs: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
         if held:
             yield _packed(held)
 
-    return docs.select("text", "lang", "source").mapInArrow(run, _ROW)
+    return docs.select("text", "lang", "source").mapInArrow(released(run), _ROW)
 
 
 def lowered(text: Column) -> Column:
@@ -217,7 +217,7 @@ def chunk_documents(docs: DataFrame, filled: np.ndarray, bits: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([lang, keys.take(pa.array(chunk)), pa.array(text + first)], ["lang", "chunk", "doc"])
                 first += part.stop - part.start
 
-    return docs.select("text", "lang").mapInArrow(run, "lang string, chunk string, doc long")
+    return docs.select("text", "lang").mapInArrow(released(run), "lang string, chunk string, doc long")
 
 
 def kept_terms(docs: DataFrame, cut: DataFrame, least_docs: int) -> DataFrame:
@@ -228,11 +228,12 @@ def kept_terms(docs: DataFrame, cut: DataFrame, least_docs: int) -> DataFrame:
     likely = store(bounds.filter(F.col("most") >= least_docs))
     sure = likely.filter(F.col("least") >= least_docs).select("lang", "term", "lang_n")
     doubtful = likely.filter(F.col("least") < least_docs).select("lang", "term", "lang_n")
-    if not doubtful.limit(1).count():
+    open_terms = doubtful.count()
+    if not open_terms:
         return sure
-    of_chunk = store(
-        _by_term(cut).filter(F.col("docs") < least_docs).select("lang", "term", "chunk").distinct().join(doubtful, ["lang", "term"])
-    )
+    few = F.broadcast(doubtful) if open_terms <= BROADCAST_ROWS else doubtful
+    # all chunks of such a term are in few documents; a chunk may hold it several times
+    of_chunk = store(_by_term(cut).select("lang", "term", "chunk").join(few, ["lang", "term"]).distinct())
     bits = 1 << min(MOST_BITS.bit_length() - 1, max(16, (32 * of_chunk.count()).bit_length()))
     listed = store(chunk_documents(docs, chunk_filter(of_chunk, bits), bits))
     held = of_chunk.join(listed, ["lang", "chunk"]).groupBy("lang", "term", "lang_n", "doc").count()
@@ -300,7 +301,7 @@ def _span_pairs(entries: DataFrame) -> DataFrame:
                 ["lang", "a", "b", "gaps", "seen"],
             )
 
-    return sorted_rows.mapInArrow(run, "lang string, a int, b int, gaps long, seen long")
+    return sorted_rows.mapInArrow(released(run), "lang string, a int, b int, gaps long, seen long")
 
 
 def _matrix(
