@@ -87,16 +87,21 @@ def hash_draw(name: Column) -> Column:
 
 
 def even_bins(counts: DataFrame, group: str, value: str, bins: int) -> DataFrame:
-    """Adds ``__bin``, from 0 up: at most ``bins`` stretches of ``value`` that share a group's rows evenly.
+    """Adds ``__bin``, from 0 up: about ``bins`` stretches (the next power of two) of ``value``, even in a group.
 
     ``counts`` has a row for each group and distinct value. The cuts are a sketch of the group, made inside the
     plan; they only balance the work, whatever values lie close together. ``group`` must not be NULL.
     """
-    bins = max(2, bins)
+    bins = 1 << max(1, (bins - 1).bit_length())
     shares = [i / bins for i in range(1, bins)]
     cuts = counts.groupBy(group).agg(F.percentile_approx(value, shares, 8 * bins).alias("__cuts"))
-    below = F.size(F.filter("__cuts", lambda cut: cut < F.col(value)))
-    return counts.join(cuts, group).withColumn("__bin", below).drop("__cuts")
+    binned = counts.join(cuts, group).withColumn("__bin", F.lit(0))
+    step = bins // 2
+    while step:  # the number of cuts below the value, by halving
+        below = F.get("__cuts", F.col("__bin") + (step - 1)) < F.col(value)
+        binned = binned.withColumn("__bin", F.col("__bin") + F.when(below, step).otherwise(0))
+        step //= 2
+    return binned.drop("__cuts")
 
 
 def bin_offsets(
