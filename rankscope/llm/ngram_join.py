@@ -13,12 +13,13 @@ Order of the steps:
 
 1. A first pass counts shingles in a sketch of fixed size (its cells give the order) and the sizes of small sets.
 2. A second pass writes each document's size, digest of its set, subsets or list entries, and a few
-   band keys of bottom hashes. Equal sets are one class by their digest.
+   band keys of bottom hashes, and the parities of listed sets. Equal sets are one class by their digest.
 3. Documents with equal band keys are checked against the most central of them. This only
    unites the bulk of large groups early; nothing depends on what it misses.
 4. Lists with documents of one class only are dropped. In the others, each document outside the
-   list's main class meets the documents of other classes. Where the sizes, the places in the lists
-   and the number of shared list entries allow the similarity, the pair is a candidate. Candidates are checked exactly; classes are the components of all links.
+   list's main class meets the documents of other classes. Where the sizes, the places in the lists,
+   the parities of both sets and the number of shared list entries allow the similarity, the pair is a
+   candidate. Candidates are checked exactly; classes are the components of all links.
 
 NULL and empty texts have no shingles and link with nothing. A text of fewer than five words is one
 shingle. A row without id gets no class. Rows with equal id count as one document if their texts are
@@ -58,6 +59,8 @@ BROADCAST_ROWS = 1_000_000
 CHECKED_TOGETHER = 128
 #: share of the needed shingles that must be found in the lists, beyond one
 MORE_SHARED = 0.03
+#: longs of one bit for each cell that says whether a set has an odd number of shingles in it
+PARITIES = 4
 
 
 def overlap(n: int, m: int) -> int:
@@ -211,6 +214,16 @@ def subset_keys(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys).astype(np.int64), np.concatenate(sides)
 
 
+def parities(shingles: np.ndarray) -> list[int]:
+    """Whether an odd number of shingles falls in each of ``64 * PARITIES`` cells.
+
+    Two sets differ in at least as many shingles as their parities differ in cells.
+    """
+    cells = ((shingles >> np.uint64(20)) % np.uint64(64 * PARITIES)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=64 * PARITIES) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
 def band_keys(shingles: np.ndarray) -> list[int]:
     """Keys of groups of bottom hashes, each the smallest of a part of the shingles; none of thin sets."""
     lowest = np.zeros(BINS, np.uint64)
@@ -225,7 +238,7 @@ def band_keys(shingles: np.ndarray) -> list[int]:
 
 ENTRY_SCHEMA = (
     "doc_id long, n int, mark binary, centre double, bands array<long>, subsets array<long>, "
-    "sides array<int>, firsts array<long>"
+    "sides array<int>, firsts array<long>, odd array<long>"
 )
 
 
@@ -250,23 +263,24 @@ def _entries(docs: DataFrame, cells: np.ndarray, limit: int) -> DataFrame:
             for doc_id, s in zip(batch.column("doc_id").to_pylist(), shingler.sets(strings(batch, "text")), strict=True):
                 n = len(s)
                 if not n or doc_id is None:
-                    rows.append((doc_id, n, None, None, None, None, None, None))
+                    rows.append((doc_id, n, *[None] * 7))
                     continue
                 mark = hashlib.md5(s.tobytes()).digest()
                 if mark in seen:
-                    rows.append((doc_id, n, mark, None, None, None, None, None))
+                    rows.append((doc_id, n, mark, *[None] * 6))
                     continue
                 if len(seen) < 4 * REMEMBERED:
                     seen.add(mark)
                 counts = order.cells[_cells(s)]
-                subsets = sides = firsts = None
+                subsets = sides = firsts = odd = None
                 if n <= order.limit:
                     subsets, sides = subset_keys(s)
                 if n >= least_listed:
                     rank = np.argsort(counts, kind="stable")
                     firsts = s[rank[: listed(n)]].astype(np.int64)
+                    odd = parities(s)
                 centre = float(np.log2(counts + 1.0).mean())
-                rows.append((doc_id, n, mark, centre, band_keys(s), subsets, sides, firsts))
+                rows.append((doc_id, n, mark, centre, band_keys(s), subsets, sides, firsts, odd))
             if rows:
                 columns = [pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -274,7 +288,7 @@ def _entries(docs: DataFrame, cells: np.ndarray, limit: int) -> DataFrame:
     longs = pa.list_(pa.int64())
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n", pa.int32()), ("mark", pa.binary()), ("centre", pa.float64()),
-        ("bands", longs), ("subsets", longs), ("sides", pa.list_(pa.int32())), ("firsts", longs),
+        ("bands", longs), ("subsets", longs), ("sides", pa.list_(pa.int32())), ("firsts", longs), ("odd", longs),
     ])
     return docs.mapInArrow(released(run), ENTRY_SCHEMA)
 
@@ -312,34 +326,38 @@ def _central_pairs(entries: DataFrame) -> DataFrame:
 
 def _listed_pairs(entries: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
     """Pairs of different classes that share a listed shingle and whose places allow the similarity."""
-    named = entries.filter("firsts is not null").select("doc_id", "n", "firsts").join(
-        _small(classes), F.col("doc_id") == F.col("node"), "left"
-    )
+    listing = entries.filter("firsts is not null").select("doc_id", "n", "firsts", "odd", F.col("odd")[0].alias("tag"))
+    named = listing.join(_small(classes), F.col("doc_id") == F.col("node"), "left")
     lists = named.select(
-        "doc_id", "n", F.coalesce("component", "doc_id").alias("c"), F.posexplode("firsts").alias("place", "shingle")
+        "doc_id", "n", "tag", F.coalesce("component", "doc_id").alias("c"), F.posexplode("firsts").alias("place", "shingle")
     )
     mixed = lists.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
     mixed = _small(store(mixed.select("shingle")))
-    rows = store(lists.join(mixed, "shingle", "left_semi"))
+    # parities join the few entries that are left; texts of one id are told apart by size and first parities
+    odds = store(listing.select("doc_id", "n", "tag", "odd").distinct())
+    rows = lists.join(mixed, "shingle", "left_semi").join(odds, ["doc_id", "n", "tag"]).drop("tag")
+    rows = store(rows.select("*", *[F.col("odd")[i].alias(f"odd{i}_") for i in range(PARITIES)]).drop("odd"))
     per_class = rows.groupBy("shingle", "c").agg(F.count("*").alias("k"))
     main = per_class.groupBy("shingle").agg(F.max(F.struct("k", "c"))["c"].alias("main"))
     left = rows.join(store(main), "shingle").filter("c <> main").select(
-        "shingle", "main", *[F.col(x).alias(f"{x}1") for x in ("doc_id", "n", "c", "place")]
+        "shingle", "main", *[F.col(x).alias(f"{x}1") for x in rows.columns if x != "shingle"]
     )
     # of sets that share c shingles, the first n - c + k of either share k: more than one is asked
     # for where the lists reach that far
     need = "cast(ceil(3 * (n + n1) / 7) as int)"
     reach = f"({need} - cast(ceil(3 * greatest(n, n1) / 4) as int) + 1)"
     asked = f"least({reach}, 1 + cast(ceil({MORE_SHARED} * {need}) as int))"
+    apart = " + ".join(f"bit_count(odd{i}_ ^ odd{i}_1)" for i in range(PARITIES))
     met = left.join(rows, "shingle").filter(
         "c <> c1 and (c = main or doc_id1 < doc_id) and 4 * least(n, n1) >= 3 * greatest(n, n1) "
         f"and greatest(n, n1) > {limit} "
-        f"and least(n - place, n1 - place1) > {need} - {asked}"
+        f"and least(n - place, n1 - place1) > {need} - {asked} and {apart} <= n + n1 - 2 * {need}"
     )
-    # a shared shingle appears once for a pair, on whichever side it is outside the main class
+    # a shared shingle appears once for a pair, on whichever side it is outside the main class; ids with
+    # several texts count the entries of all, so the least asked of any of them is asked
     pair = met.select(
         F.least("doc_id1", "doc_id").alias("p"), F.greatest("doc_id1", "doc_id").alias("d"), F.expr(asked).alias("asked")
-    ).groupBy("p", "d").agg(F.count("*").alias("k"), F.max("asked").alias("asked"))
+    ).groupBy("p", "d").agg(F.count("*").alias("k"), F.min("asked").alias("asked"))
     return pair.filter("k >= asked").select("p", "d")
 
 

@@ -131,3 +131,22 @@ def test_components_of_chains_and_stars(spark):
     linked = {x for a, b in edges if a is not None and a != b for x in (a, b)}
     got = components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()
     assert sorted(map(tuple, got)) == sorted((x, root(x)) for x in linked)
+
+
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        pool = rng.integers(0, 2**63, rng.integers(2, 900)).astype(np.uint64)
+        one, two = (np.unique(pool[rng.random(len(pool)) < rng.random()]) for _ in range(2))
+        pairs = zip(ngram_join.parities(one), ngram_join.parities(two), strict=True)
+        assert sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in pairs) <= len(np.setxor1d(one, two))
+
+
+def test_an_id_with_several_texts_keeps_the_links_of_each(spark):
+    rng = random.Random(21)
+    long, other = ([f"{x}{rng.randrange(10**6)}" for _ in range(n)] for x, n in (("a", 300), ("b", 40)))
+    near = [*long[:150], "x", *long[151:]]
+    short = [*other[:20], "y", *other[21:], "z"]
+    rows = [(5, " ".join(long)), (5, " ".join(other)), (2, " ".join(near)), (3, " ".join(other)), (9, " ".join(short))]
+    got = {(i, n): c for i, n, c in found(spark, rows)}
+    assert {got[5, 296], got[5, 36], got[2, 296], got[3, 36]} == {2}
