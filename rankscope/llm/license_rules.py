@@ -12,6 +12,7 @@ named columns are read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -198,9 +199,17 @@ def detect(form: bytes) -> list[tuple[int, int, Rule]]:
                 found += [(m.start(), m.end(), number, rule) for m in rule.pattern.finditer(form)]
     found.sort(key=lambda x: (x[3].priority, x[0] - x[1], x[0], x[2]))
     kept: list[tuple[int, int, Rule]] = []
+    # the kept detections that no other kept one contains: both ends rise
+    starts: list[int] = []
+    ends: list[int] = []
     for start, end, _, rule in found:
-        if not any(a <= start and end <= b for a, b, _ in kept):
-            kept.append((start, end, rule))
+        before = bisect_right(starts, start)
+        if before and ends[before - 1] >= end:
+            continue
+        kept.append((start, end, rule))
+        at = bisect_left(starts, start)
+        past = bisect_right(ends, end, at)
+        starts[at:past], ends[at:past] = [start], [end]
     return sorted(kept, key=lambda x: x[:2])
 
 
@@ -242,9 +251,11 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             doubt[label] = 0.3
         for label in sorted(doubt):
             score *= doubt[label]
-        spans = [
-            f"{r.label}@{form.count(b' ', 0, a) - 1}+{form.count(b' ', a, b) + 1}" for a, b, r in kept
-        ]
+        spans, words, last = [], 0, 0
+        for a, b, rule in kept:
+            words += form.count(b" ", last, a)
+            last = a
+            spans.append(f"{rule.label}@{words - 1}+{form.count(b' ', a, b) + 1}")
         return (
             max(0, form.count(b" ") - 1), len(starts), min(starts, default=None), max(starts, default=None),
             ",".join(base), ",".join(sorted(doubt)), 1 - score if doubt else 0.0, spans,

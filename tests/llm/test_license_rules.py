@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 from re import _parser as parser
 
 from tables import TINY
@@ -106,3 +108,29 @@ def test_odd_rows(spark, odd_docs):
     first = next(r for r in rows if r.doc_id == 1)
     assert (first.n_words, first.n_base, first.first_word, first.labels, first.score, first.spans) == (0, 0, None, "", 0, [])
     assert license_rules.scan(odd_docs.limit(0)).count() == 0
+
+
+def test_detections_against_comparing_all():
+    words = "gnu general public license version 2 3 or later mit cc by sa 4 0 bsd clause under the terms of".split()
+    rng = random.Random(5)
+    for _ in range(300):
+        form = license_rules.normal_form(" ".join(rng.choices(words, k=rng.randrange(1, 100))))
+        found = [
+            (m.start(), m.end(), number, rule)
+            for number, rule in enumerate(license_rules.rules()) for m in rule.pattern.finditer(form)
+        ]
+        kept: list[tuple] = []
+        for start, end, _, rule in sorted(found, key=lambda x: (x[3].priority, x[0] - x[1], x[0], x[2])):
+            if not any(a <= start and end <= b for a, b, _ in kept):
+                kept.append((start, end, rule))
+        assert license_rules.detect(form) == sorted(kept, key=lambda x: x[:2])
+
+
+def test_a_very_long_text_with_a_detection_everywhere(spark):
+    part, times = "some words under the mit license and ", 40_000
+    docs = spark.createDataFrame([(1, part * times)], "doc_id long, text string")
+    began = time.monotonic()
+    row = license_rules.scan(docs).first()
+    assert time.monotonic() - began < 60
+    mit = [s for s in row.spans if s.startswith("mit@")]
+    assert mit == [f"mit@{7 * i + 4}+2" for i in range(times)] and row.n_words == 7 * times
