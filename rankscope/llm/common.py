@@ -14,6 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark's own setting, by which the shuffle files of a query are removed when it ends
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -31,7 +34,8 @@ def store(df: DataFrame) -> DataFrame:
     table that is stored before it joins the rows of its keys also lets adaptive execution split the
     join of a hot key, which it does not do where a side is still partitioned by the grouping. Where
     that setting is absent a temporary folder of this machine is taken in a local session, as in tests; on a
-    cluster that raises, since other machines could not read it.
+    cluster that raises, since other machines could not read it. The shuffle files of the write go at its
+    end, as nothing reads them any more.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", "")
@@ -41,7 +45,12 @@ def store(df: DataFrame) -> DataFrame:
             raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master or 'the cluster'} share")
         folder = _local_folder()
     path = f"{folder.rstrip('/')}/rankscope-llm-{uuid4()}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from tables import TINY
 from test_ngram_join import brute
 
 from rankscope.llm import byte_bpe
-from rankscope.llm.common import store
+from rankscope.llm.common import CLEAN_UP, store
 from rankscope.llm.queries import PATTERN, RANKS
 
 
@@ -76,3 +76,9 @@ def test_store_refuses_a_folder_of_one_machine_on_a_cluster():
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: values.get(key, default)))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         store(SimpleNamespace(sparkSession=session))
+
+
+def test_store_leaves_the_setting_as_it_was(spark):
+    before = spark.conf.get(CLEAN_UP)
+    stored = store(spark.range(1000).repartition(3, "id"))
+    assert stored.count() == 1000 and spark.conf.get(CLEAN_UP) == before
