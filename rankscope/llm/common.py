@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: how the names of stored tables begin
+STORED = "rankscope-llm-"
 #: Spark's own setting, by which the shuffle files of a query are removed when it ends
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -44,7 +46,7 @@ def store(df: DataFrame) -> DataFrame:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master or 'the cluster'} share")
         folder = _local_folder()
-    path = f"{folder.rstrip('/')}/rankscope-llm-{uuid4()}"
+    path = f"{folder.rstrip('/')}/{STORED}{uuid4()}"
     before = spark.conf.get(CLEAN_UP)
     spark.conf.set(CLEAN_UP, "true")
     try:
@@ -54,6 +56,16 @@ def store(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(stored: DataFrame) -> None:
+    """Deletes the files of a table that ``store`` made and that nothing reads any more."""
+    folders = {name.rsplit("/", 1)[0] for name in stored.inputFiles()}
+    for folder in folders:
+        if not folder.rsplit("/", 1)[-1].startswith(STORED):
+            raise ValueError(f"{folder} was not made by store")
+        path = stored.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(stored.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 Batches = Iterator[pa.RecordBatch]
 
 

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankscope.llm.common import released, slices, store, strings
+from rankscope.llm.common import discard, released, slices, store, strings
 from rankscope.llm.components import components
 
 WORDS = 5
@@ -365,7 +365,7 @@ def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The links (a, b) among ``pairs`` (p, d), by counting shared shingles.
 
     Sets of the documents named by a pair are made once. A document p meets its partners in runs of
-    bounded length that different tasks can take; only p's set is held.
+    bounded length that different tasks can take; only p's set is held. The links are stored, the sets deleted.
     """
     pairs = store(pairs)
     named = pairs.select(F.col("p").alias("doc_id")).unionByName(pairs.select(F.col("d").alias("doc_id")))
@@ -416,7 +416,9 @@ def _checked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                     [pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"]
                 )
 
-    return rows.mapInArrow(released(check), "a long, b long")
+    links = store(rows.mapInArrow(released(check), "a long, b long"))
+    discard(sets)
+    return links
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -433,7 +435,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         equal.unionByName(_subset_links(entries)).unionByName(_checked(source, _central_pairs(entries)))
     )
     classes = store(components(early))
-    late = store(_checked(source, _listed_pairs(entries, classes, limit)))
+    late = _checked(source, _listed_pairs(entries, classes, limit))
     # classes of classes: late links between the early classes' smallest documents
     names = classes.select("node", "component")
     lifted = late

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 import corpus_pipeline
 import pytest
 import tiktoken
@@ -7,7 +10,7 @@ from tables import TINY
 from test_ngram_join import brute
 
 from rankscope.llm import byte_bpe
-from rankscope.llm.common import CLEAN_UP, store
+from rankscope.llm.common import CLEAN_UP, discard, store
 from rankscope.llm.queries import PATTERN, RANKS
 
 
@@ -82,3 +85,13 @@ def test_store_leaves_the_setting_as_it_was(spark):
     before = spark.conf.get(CLEAN_UP)
     stored = store(spark.range(1000).repartition(3, "id"))
     assert stored.count() == 1000 and spark.conf.get(CLEAN_UP) == before
+
+
+def test_discard_deletes_stored_tables_only(spark):
+    stored = store(spark.range(10))
+    folder = Path(urlparse(stored.inputFiles()[0]).path).parent
+    assert folder.is_dir()
+    discard(stored)
+    assert not folder.exists()
+    with pytest.raises(ValueError, match="was not made by store"):
+        discard(spark.read.parquet(f"{TINY}/documents.parquet"))
