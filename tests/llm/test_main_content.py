@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 from tables import TINY
 
@@ -88,3 +89,62 @@ def test_learned_weights_outvote_names():
     page = f'<body>{ARTICLE}<div class="popular"><p>Third one.</p></div></body>'
     assert main_content.extract_text(page, {"-p": 3.0}) == f"{TEXT}\n\nThird one."
     assert main_content.extract_text(f'<body><div class="comments">{ARTICLE}</div></body>', {"-p": -3.0, "-h1": -3.0}) == ""
+
+
+def test_a_form_around_the_page_does_not_empty_it():
+    nav, foot = '<nav><a href="/">Home</a></nav>', "<footer>Copyright of us</footer>"
+    comments = '<div class="comments"><p>Great article, thank you!</p></div>'
+    for form in ('<form id="aspnetForm" action="/x">{}</form>', '<div role="form">{}</div>'):
+        page = "<body>" + form.format(nav + ARTICLE + comments + foot) + "</body>"
+        assert main_content.extract_text(page, {}) == TEXT, page
+    page = f"<body>{ARTICLE}<form><p>Send us your mail address now please</p></form></body>"
+    assert main_content.extract_text(page, {}) == TEXT
+
+
+def test_a_box_inside_an_article_does_not_part_it():
+    more = "<p>" + "The second half of this article goes on for a while. " * 4 + "</p>"
+    page = f'<body>{ARTICLE}<div class="sidebar"><p>{"Other news of the day. " * 60}</p></div>{more}</body>'
+    assert main_content.extract_text(page, {}) == TEXT + "\n\n" + " ".join(main_content.extract_text(more, {}).split())
+    assert main_content.extract_text(page, {}).endswith("goes on for a while.")
+    # a short line behind a long one is not worth it
+    page = f'<body>{ARTICLE}<div class="comments"><p>{"I liked it. " * 20}</p></div><div>Made by us.</div></body>'
+    assert main_content.extract_text(page, {}) == TEXT
+
+
+def test_links_in_paragraphs_are_text():
+    links = "".join(f'<a href="/{i}">name {i} of a page</a>, ' for i in range(20))
+    listed = " ".join(f"name {i} of a page," for i in range(20))
+    page = f"<body>{ARTICLE}<p>{links}</p>{ARTICLE}</body>"
+    assert main_content.extract_text(page, {}) == f"{TEXT}\n\n{listed}\n\n{TEXT}"
+    # blocks are whole where the stretch starts or ends beside a link
+    page = '<body><nav>Home</nav><p><a href="/a">The first link</a> is here and the last is <a href="/b">at its end</a></p></body>'
+    assert main_content.extract_text(page, {}) == "The first link is here and the last is at its end"
+
+
+def test_long_and_broken_pages_take_linear_time():
+    n = 150_000
+    pages = {
+        "<p " * n: "", '<p "' * n: None, "</ " * n: "", "<!" * n: "", "<script " * n: "", "<!-- " * n: "",
+        "<div>" * n + "text here" + "</p>" * n: "text here", "<header>" * n: "", "<b hidden>" * n + "</i>" * n: "",
+        "<p>a few words</p>" * n: "\n\n".join(["a few words"] * n),
+    }
+    start = time.perf_counter()
+    for page, text in pages.items():
+        got = main_content.extract_text(page, {})
+        assert text is None or got == text, page[:20]
+    assert time.perf_counter() - start < 60
+    assert main_content.extract_text('<p title="5" tall">one two three</p> <p>four', {}) == "one two three\n\nfour"
+
+
+def test_weights_count_equal_pages_once_and_shuffle_no_page(spark):
+    pages = spark.read.parquet(f"{TINY}/pages.parquet")
+    hot = pages.unionByName(pages.limit(1).crossJoin(spark.range(200)).drop("id")).repartition(5)
+    assert main_content.learn(hot) == main_content.learn(pages)
+    few = main_content.learn(hot, most_pages=3)
+    assert few and few == main_content.learn(pages, most_pages=3)
+
+
+def test_clashing_columns(spark):
+    rows = [(1, "u", ARTICLE, "x", 5, 6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int, hash int")
+    assert [tuple(r) for r in main_content.extract(pages, main_content.learn(pages)).collect()] == [(1, "u", TEXT, len(TEXT))]
