@@ -8,7 +8,10 @@ integer arithmetic over one row per tree node. A leaf then takes whole rows in s
 epoch, while the tokens before a row are below its budget.
 
 NULL domain, language or source is the child named ``""``. NULL and empty texts cost one token. A
-weight that is missing, 0 or below counts as 1. Rows with equal key are ordered by cost and text.
+weight that is missing, 0 or below counts as 1. The order is a hash of seed, epoch, cost, text and key, so rows
+that share or lack a key are spread like all others; only rows equal in key and text stand together, and which
+of these comes first changes nothing but their other columns. A very long text is one row with its cost, an empty
+table gives no rows, and columns of any name travel inside ``row``.
 A leaf is never ordered in one task: rows fall into bins of their order, and only the bin in which the
 budget ends is ordered.
 """
@@ -124,7 +127,8 @@ def select(
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         level(domain).alias("domain"), level(docs[lang]).alias("lang"), level(docs[source]).alias("source"),
-        docs[key].cast("string").alias("key"), token_cost(docs[text]).alias("n_tokens"),
+        F.coalesce(docs[key].cast("string"), F.lit("")).alias("key"), token_cost(docs[text]).alias("n_tokens"),
+        F.md5(F.coalesce(docs[text], F.lit(""))).alias("mark"),
     )
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_rows"))
     leaves = leaves.withColumn("room", F.col("tokens") * epochs)
@@ -137,7 +141,7 @@ def select(
     rounds = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
     ranked = rows.select("*", rounds.alias("epoch")).withColumn(
         "place",
-        hex_number(F.md5(F.concat_ws(":", F.lit(str(seed)), "epoch", F.coalesce("key", F.lit("")))), 1, ORDER_HEX),
+        hex_number(F.md5(F.concat_ws(":", F.lit(str(seed)), "epoch", "n_tokens", "mark", "key")), 1, ORDER_HEX),
     )
     binned = ranked.join(given, list(LEVELS)).withColumn(
         "bin", F.expr(f"cast(place as decimal(38,0)) * bins div {16**ORDER_HEX}")
@@ -149,7 +153,7 @@ def select(
     starts = sums.withColumn("before_bin", F.coalesce(F.sum("in_bin").over(ahead), F.lit(0)))
     starts = starts.filter(F.col("before_bin") < F.col("budget")).select(*LEVELS, "epoch", "bin", "before_bin")
     reached = binned.join(starts, [*LEVELS, "epoch", "bin"])
-    inside = Window.partitionBy(*LEVELS, "epoch", "bin").orderBy("place", "key", "n_tokens", F.col(f"row.{text}"))
+    inside = Window.partitionBy(*LEVELS, "epoch", "bin").orderBy("place", "key", "n_tokens", "mark")
     within = F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     taken = reached.withColumn("tokens_before", F.col("before_bin") + within - F.col("n_tokens"))
     return taken.filter(F.col("tokens_before") < F.col("budget")).select(

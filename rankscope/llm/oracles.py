@@ -48,8 +48,9 @@ leaves as (select domain, lang, source, {EPOCHS} * sum(n_tokens) as room from d
 b0 as (select least(floor(sum(room) * {MIX_SHARE} / {EPOCHS}), sum(room))::hugeint as budget from leaves),
 {",".join(_level(i) for i in range(3))},
 o as (select d.*, epoch, budget, coalesce(sum(n_tokens) over (partition by domain, lang, source
-    order by epoch, ('0x' || substr(md5(concat_ws(':', '{MIX_SEED}', epoch, coalesce(doc_id::varchar, ''))), 1,
-    {mixing.ORDER_HEX}))::bigint, doc_id::varchar, n_tokens, text
+    order by epoch, ('0x' || substr(md5(concat_ws(':', '{MIX_SEED}', epoch, n_tokens, md5(coalesce(text, '')),
+    coalesce(doc_id::varchar, ''))), 1, {mixing.ORDER_HEX}))::bigint, coalesce(doc_id::varchar, ''), n_tokens,
+    md5(coalesce(text, ''))
     rows between unbounded preceding and 1 preceding), 0)::bigint as tokens_before
   from d cross join range({EPOCHS}) t(epoch) join b3 using (domain, lang, source))
 select doc_id, domain, lang, source, epoch::int as epoch, n_tokens, tokens_before, budget

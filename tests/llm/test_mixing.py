@@ -67,3 +67,16 @@ def test_odd_rows(spark, odd_docs):
     assert {(r.domain, r.lang, r.source) for r in rows if r.row.doc_id == 1} == {("", "", "")}
     assert mixing.select(odd_docs, 0.0, {}, F.lit("d")).count() == 0
     assert mixing.select(odd_docs.limit(0), 0.5, {}, F.lit("d")).count() == 0
+
+
+def test_rows_that_share_or_lack_an_id_are_spread_over_bins(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_PER_BIN", 4)
+    rows = [(None if i % 2 else 7, f"text number {i}", "en", "s", i, 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_tokens int, bin int")
+    taken = mixing.select(docs, 0.5, {}, F.lit("d")).collect()
+    assert sum(r.n_tokens for r in taken) >= sum((len(r[1]) + 3) // 4 for r in rows) // 2
+    assert 100 < len(taken) < 300 and len({r.row.text for r in taken}) == len(taken)
+    # both the shared id and the missing one are taken about evenly, so neither fills a bin by itself
+    assert 60 < sum(r.row.doc_id is None for r in taken) < 140
+    again = mixing.select(docs.repartition(5), 0.5, {}, F.lit("d")).collect()
+    assert {(r.row.text, r.tokens_before) for r in again} == {(r.row.text, r.tokens_before) for r in taken}
