@@ -6,13 +6,19 @@ repeated phrases do not. Two vocabularies are measured over the distinct words o
 language, or where that is unknown each script, has its own bands.
 
 In Latin script the lower bounds are for the plain letters: what digits, marks and letters with accents cost
-in tokens is taken off first, so lists of numbers or many accents do not make prose look like noise. The
+in tokens is taken off first, so lists of numbers or many accents do not make prose look like noise. Of each
+of these only the share that prose or a price list may have is taken off; the tokens of the rest count, so a text
+made of symbols, numbers or accents is judged by them. The
 bounds lie between the prose of the given tables (1.86 letters a token and more) and random letters
 (1.5 on average, 1.8 at most). A text rich in digits whose words mostly have none (prose around a key or a phone
 number) has looser bounds.
 
-NULL and empty texts have no words, so they fail the base rule. Every row is judged by itself:
-repeated rows get equal results, and only the named columns are read.
+A band follows from the script of most letters; the language chooses among the bands of Latin script alone, so a
+wrong language does not spare a text in another known script. Texts without any letter are judged as Latin.
+
+NULL and empty texts have no words, so they fail the base rule. A very long text is one row, its words are
+measured once each. Measures on a bound (ties) stay. An empty table gives no rows. Every row is judged by itself:
+repeated rows get equal results, and only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -38,12 +44,15 @@ SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
 DIGITS = b"0123456789"
 LETTERS = bytes(range(65, 91)) + bytes(range(97, 123))
-#: first bytes of characters of two bytes, and of more
-TWO_BYTES, MORE_BYTES = bytes(range(0xC2, 0xE0)), bytes(range(0xE0, 0xF5))
-#: tokens of either vocabulary for a digit, a mark, a character of two bytes and one of more
-COSTS = ((1.0, 1.0, 1.0, 2.0), (0.4, 1.0, 2.0, 3.5))
+#: first bytes of Latin letters with accents, of other characters of two bytes, and of longer ones
+ACCENTS, TWO_BYTES, MORE_BYTES = bytes(range(0xC3, 0xCA)), b"\xc2" + bytes(range(0xCA, 0xE0)), bytes(range(0xE0, 0xF5))
+#: tokens of either vocabulary for a digit, a mark, an accented letter, another character of two bytes, a longer one
+COSTS = ((1.0, 1.0, 1.0, 1.0, 2.0), (0.4, 1.0, 2.0, 2.0, 3.5))
+#: the share of a text's characters up to which each of them is taken off
+MOST = (0.5, 0.2, 0.3, 1.0, 1.0)
 RICH = 0.1
-SCRIPTS = ("LATIN", "CYRILLIC", "GREEK", "ARABIC", "HEBREW", "DEVANAGARI", "CJK", "HIRAGANA", "HANGUL")
+LATIN, LETTERLESS = "LATIN", "NONE"
+SCRIPTS = (LATIN, "CYRILLIC", "GREEK", "ARABIC", "HEBREW", "DEVANAGARI", "CJK", "HIRAGANA", "HANGUL")
 
 SCHEMA = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -59,7 +68,8 @@ class Band:
 
     ``entropy`` is the least entropy in bits of a text of ``LONG`` tokens or more; a shorter text
     needs the same share of the most that its token count allows. With ``letters`` the lower bounds of
-    ``chars`` and ``byte_chars`` are for plain letters and ``rich`` replaces them in texts rich in digits.
+    ``chars`` and ``byte_chars`` are for plain letters and ``rich`` replaces them in texts rich in digits; ``marks``
+    is the largest share of marks among the characters, as runs of one mark take few tokens.
     """
 
     chars: tuple[float, float]
@@ -68,17 +78,20 @@ class Band:
     entropy: float
     letters: bool = False
     rich: tuple[float, float] = (0.0, 0.0)
+    marks: float = 1.0
 
 
 LONG = 256
-WESTERN = Band((1.8, 7.0), (1.8, 7.5), 0.05, 3.0, True, (1.7, 1.5))
+WESTERN = Band((1.8, 7.0), (1.8, 7.5), 0.05, 3.0, True, (1.7, 1.5), 0.3)
 BANDS = {
-    "en": WESTERN, "de": WESTERN, "es": WESTERN, "fr": WESTERN, "LATIN": WESTERN,
-    "CYRILLIC": Band((0.9, 6.0), (0.4, 3.0), 0.1, 3.0),
-    "GREEK": Band((0.6, 4.0), (0.3, 2.0), 0.3, 3.0),
+    "en": WESTERN, "de": WESTERN, "es": WESTERN, "fr": WESTERN, LATIN: WESTERN, LETTERLESS: WESTERN,
+    "CYRILLIC": Band((1.18, 6.0), (0.66, 3.0), 0.1, 3.0),
+    "GREEK": Band((0.6, 4.0), (0.735, 3.0), 0.3, 3.0),
+    "ARABIC": Band((0.6, 4.0), (0.66, 3.0), 0.3, 3.0),
+    "HEBREW": Band((0.6, 4.0), (0.63, 3.0), 0.3, 3.0),
     "CJK": Band((0.3, 3.0), (0.25, 1.5), 0.8, 3.0),
     "HIRAGANA": Band((0.3, 3.0), (0.25, 1.5), 0.8, 3.0),
-    "HANGUL": Band((0.3, 3.0), (0.25, 1.5), 0.9, 3.0),
+    "HANGUL": Band((0.4, 3.0), (0.25, 1.5), 0.7, 3.0),
     "OTHER": Band((0.2, 7.0), (0.2, 7.5), 0.95, 2.5),
 }
 
@@ -113,15 +126,15 @@ def _bytes(path: str, pattern: str):
 
 
 def script_of(text: str) -> str:
-    """The script of most letters; ties go to the first of ``SCRIPTS``, no letter gives OTHER."""
+    """The script of most letters; ties go to the first of ``SCRIPTS``, no letter gives NONE."""
     if text.isascii():
-        return "LATIN" if any(map(str.isalpha, text)) else "OTHER"
+        return LATIN if any(map(str.isalpha, text)) else LETTERLESS
     counts = dict.fromkeys((*SCRIPTS, "OTHER"), 0)
     for char in set(text):
         if char.isalpha():
             name = unicodedata.name(char, "OTHER").split(" ")[0]
             counts[name if name in counts else "OTHER"] += text.count(char)
-    return max(counts, key=counts.get) if any(counts.values()) else "OTHER"
+    return max(counts, key=counts.get) if any(counts.values()) else LETTERLESS
 
 
 def repeated_words(words: np.ndarray) -> int:
@@ -198,23 +211,26 @@ class Meter:
         return len(ids), int(self.other[numbers].sum()), int(self.single[ids].sum()), max(0.0, entropy)
 
 
-def letters_per_token(raw: bytes, tokens: int, others: int) -> tuple[float, float, float]:
-    """Plain letters a token of either vocabulary, without what all else costs; the share of digits.
+def letters_per_token(raw: bytes, tokens: int, others: int) -> tuple[float, float, float, float]:
+    """Plain letters a token of either vocabulary, without what all else may cost; the shares of digits and marks.
 
-    A text without plain letters, or whose other characters explain all tokens, is not judged by letters.
+    A text whose other characters explain all tokens is not judged by letters.
     """
 
     def count(kind: bytes) -> int:
         return len(raw) - len(raw.translate(None, kind))
 
-    letters, digits, two, more = count(LETTERS), count(DIGITS), count(TWO_BYTES), count(MORE_BYTES)
+    letters, digits = count(LETTERS), count(DIGITS)
     marks = len(raw.translate(None, LETTERS + DIGITS + BLANKS + bytes(range(128, 256))))
+    others_of = (digits, marks, count(ACCENTS), count(TWO_BYTES), count(MORE_BYTES))
+    chars = max(1, letters + sum(others_of))
+    known = [min(n, share * chars) for n, share in zip(others_of, MOST, strict=True)]
     left = [
-        n - sum(c * k for c, k in zip(costs, (digits, marks, two, more), strict=True))
+        n - sum(c * k for c, k in zip(costs, known, strict=True))
         for n, costs in zip((tokens, others), COSTS, strict=True)
     ]
-    per = [letters / n if letters and n > 0 else float("inf") for n in left]
-    return per[0], per[1], digits / max(1, letters + digits + marks + two + more)
+    per = [letters / n if n > 0 else float("inf") for n in left]
+    return per[0], per[1], digits / chars, marks / chars
 
 
 def least_letters(band: Band, raw: bytes, digits: float) -> tuple[float, float]:
@@ -234,7 +250,9 @@ def outside(
     found = []
     fits, byte_fits = chars >= band.chars[0], byte_chars >= band.byte_chars[0]
     if band.letters:
-        per, byte_per, digits = letters_per_token(raw, n, others)
+        per, byte_per, digits, marks = letters_per_token(raw, n, others)
+        if marks > band.marks:
+            found.append("mark_share")
         least_per, least_byte = least_letters(band, raw, digits)
         fits, byte_fits = per >= least_per, byte_per >= least_byte
     if not fits or chars > band.chars[1]:
@@ -258,7 +276,9 @@ def _row(meter: Meter, text: str, raw: bytes, words: np.ndarray, language: str |
     per, byte_per, share = (
         (chars / tokens, chars / max(1, others), single / tokens) if tokens else (0.0, 0.0, 0.0)
     )
-    script = language if language in BANDS else script_of(text)
+    script = script_of(text)
+    if script in (LATIN, LETTERLESS, "OTHER") and language in BANDS and BANDS[language].letters:
+        script = language
     reasons = outside(BANDS.get(script, BANDS["OTHER"]), per, byte_per, share, entropy, tokens, raw, others)
     return (
         n, chars, symbols, repeated_lines(text), repeats, failed, not failed and not reasons,
