@@ -9,7 +9,8 @@ and the rest of an access key, which have no number, become keyed text of the sa
 
 Each kind has one pattern. A text is cut once at the matches of any and put together again with the
 pseudonyms in their place; a match that fails its check stays as it is. NULL and empty texts pass unchanged, as
-do all other columns. Each row is treated by itself.
+do all other columns, whatever their names. A very long text is one row, cut once. Where kinds tie on a place the first
+of ``KINDS`` counts. Each row is treated by itself: repeated rows stay equal, an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -97,14 +98,66 @@ def padded(number: Column, size: int) -> Column:
 
 def card(text: Column, key: str) -> Column:
     """Payment cards of 16 digits that pass Luhn; the first digit and the separators stay."""
-    number = digits(text)
-    middle = feistel(F.substring(number, 2, 14).cast("long"), 10**7, 10**7, key, "card")
-    body = F.concat(F.substring(number, 1, 1), padded(middle, 14))
+    return _card(text, key, 16, 1, "card")
+
+
+def _card(text: Column, key: str, size: int, kept: int, tweak: str) -> Column:
+    """Cards of ``size`` digits that pass Luhn; the first ``kept`` digits and the separators stay."""
+    number, inner = digits(text), size - 1 - kept
+    half = inner // 2
+    middle = feistel(F.substring(number, kept + 1, inner).cast("long"), 10**half, 10 ** (inner - half), key, tweak)
+    body = F.concat(F.substring(number, 1, kept), padded(middle, inner))
     check = F.pmod(10 - luhn_sum(body, True) % 10, F.lit(10)).cast("string")
-    valid = (F.length(number) == 16) & (luhn_sum(number, False) % 10 == 0)
+    valid = (F.length(number) == size) & (luhn_sum(number, False) % 10 == 0)
     return F.when(valid, refill(text, F.concat(body, check))).otherwise(text)
 
 
+def short_card(text: Column, key: str) -> Column:
+    """Cards of 15 or 14 digits that pass Luhn; the two digits that name their issuer stay."""
+    long = F.length(digits(text)) == 15
+    return F.when(long, _card(text, key, 15, 2, "card15")).otherwise(_card(text, key, 14, 2, "card14"))
+
+
+def remainder_97(number: Column) -> Column:
+    """A string of digits and capital letters (A is 10, Z is 35) as a number, modulo 97."""
+
+    def step(state: Column, char: Column) -> Column:
+        letter = char >= "A"
+        value = F.when(letter, F.ascii(char) - 55).otherwise(F.ascii(char) - 48)
+        return F.pmod(state * F.when(letter, 100).otherwise(10) + value, F.lit(97))
+
+    return F.aggregate(F.filter(F.split(number, ""), lambda c: c != ""), F.lit(0), step)
+
+
+#: digits of an account number that are permuted, the last ones; a longer bank code in front stays
+ACCOUNT = 16
+
+
+def account(text: Column, key: str) -> Column:
+    """International account numbers whose check digits hold; the country, letters and blanks stay."""
+    plain = F.regexp_replace(text, " ", "")
+    country, inner = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
+    number = digits(inner)
+    size = F.least(F.length(number), F.lit(ACCOUNT))
+    lead = F.substring(number, F.lit(1), F.length(number) - size)
+    half = F.floor(size / 2)
+    left, right = F.pow(F.lit(10), half).cast("long"), F.pow(F.lit(10), size - half).cast("long")
+    tail = F.substring(number, F.length(number) - size + 1, size).cast("long")
+    made = F.lpad(feistel(tail, left, right, key, "account").cast("string"), size, F.lit("0"))
+    body = F.concat(lead, made)
+    check = F.lpad((98 - remainder_97(F.concat(refill(inner, body), country, F.lit("00")))).cast("string"), 2, "0")
+    rotated = F.concat(inner, F.substring(plain, 1, 4))
+    # below a few digits there is nothing to permute
+    valid = (F.length(number) >= 6) & F.length(plain).between(15, 34) & (remainder_97(rotated) == 1)
+    # what fails may be a card behind some other mark
+    behind = F.concat(F.substring(text, 1, 5), card(F.substring(text, F.lit(6), F.length(text)), key))
+    return (
+        F.when(valid, refill(text, F.concat(check, body)))
+        .when(text.rlike("^.{4} (?:" + _CARD + ")$"), behind)
+        .otherwise(text)
+    )
+
+
 def phone(text: Column, key: str) -> Column:
     """Ten-digit numbers whose area has no leading zero; so has the pseudonym. A country code stays."""
     number = F.substring(digits(text), -10, 10)
@@ -192,6 +245,18 @@ def date(text: Column, key: str) -> Column:
     return F.when(valid, refill(text, out)).otherwise(text)
 
 
+def written_date(text: Column, key: str) -> Column:
+    """Dates with the year behind: month first where that is a date and the sign is ``/``, else day first."""
+    plain = F.regexp_replace(text, "[./]", "-")
+    month_first = F.when(text.contains("/"), F.try_to_date(plain, "MM-dd-yyyy"))
+    day = F.coalesce(month_first, F.try_to_date(plain, "dd-MM-yyyy"))
+    index = F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
+    made = F.date_add(F.lit(FIRST_DAY).cast("date"), feistel(index, 319, 229, key, "date").cast("int"))
+    out = F.when(month_first.isNotNull(), F.date_format(made, "MMddyyyy")).otherwise(F.date_format(made, "ddMMyyyy"))
+    valid = day.isNotNull() & index.between(0, DAYS - 1)
+    return F.when(valid, refill(text, out)).otherwise(text)
+
+
 def mail(text: Column, key: str) -> Column:
     """Mail addresses: a keyed local part at a reserved host."""
     name = F.substring(F.md5(F.concat_ws(":", F.lit(key), F.lit("mail"), F.lower(text))), 1, 16)
@@ -239,6 +304,9 @@ _AFTER = "(?![0-9A-Za-z])"
 #: what stands before a candidate; each pattern follows it
 BEFORE = "(?<![0-9A-Za-z])"
 _CARD = r"[0-9]{4}(?:[ -]?[0-9]{4}){3}" + _AFTER
+_SHORT_CARD = r"3(?:[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}|[068][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{4})" + _AFTER
+_ACCOUNT = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _AFTER
+_WRITTEN = r"[0-9]{2}(?:\.[0-9]{2}\.|/[0-9]{2}/|-[0-9]{2}-)(?:19|20)[0-9]{2}" + _AFTER
 _SOCIAL = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 _ADDRESS = r"(?<![.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
 _LOCAL = r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _AFTER
@@ -258,11 +326,14 @@ KINDS = (
         rf"|AKIA[A-Z0-9]{{16}}{_AFTER}|gh[pousr]_[A-Za-z0-9]{{36}}{_AFTER}",
         _secret_word, secret,
     ),
+    Kind("account", _ACCOUNT, _two_digits, account),
     Kind("card", _CARD, _two_digits, card),
+    Kind("short card", _SHORT_CARD, _two_digits, short_card),
     Kind("phone", _PHONE, _two_digits, any_phone),
     Kind("social", _SOCIAL, _two_digits, social),
     Kind("address", _ADDRESS, _four_numbers, address),
     Kind("date", r"(?:19|20)[0-9]{2}([./-])[0-9]{2}\1[0-9]{2}" + _AFTER, _two_digits, date),
+    Kind("written date", _WRITTEN, _two_digits, written_date),
 )
 
 

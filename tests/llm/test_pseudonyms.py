@@ -146,3 +146,42 @@ def test_no_phone_of_the_table_stays(spark):
         seen += len(found)
         assert not any(v in r.text for v in found)
     assert seen > 100
+
+
+def remainder_97(number: str) -> int:
+    plain = number.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
+def test_account_numbers_keep_their_check_digits(spark):
+    values = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947",
+              "FR14 2004 1010 0505 0001 3M02 606", "MT84MALT011000012345MTLCAST001S"]
+    assert all(remainder_97(v) == 1 for v in values)
+    behind = turned(spark, ["ID42 4111 1111 1111 1111"], p.account)["ID42 4111 1111 1111 1111"]
+    assert behind.startswith("ID42 4") and behind[5:] != "4111 1111 1111 1111" and luhn(re.sub(r"\D", "", behind[5:]))
+    wrong = ["DE88 3704 0044 0532 0130 00", "AB12 CDEF GHIJ KLMN"]
+    docs = spark.createDataFrame([(i, f"to {v}. now") for i, v in enumerate(values + wrong)], "doc_id long, text string")
+    got = {(values + wrong)[r.doc_id]: r.text[3:-5] for r in p.pseudonymise(docs, KEY).collect()}
+    for value in values:
+        made = got[value]
+        assert made != value and made[:2] == value[:2] and remainder_97(made) == 1
+        assert re.sub(r"\d", "0", made) == re.sub(r"\d", "0", value)
+    assert got[values[0]].replace(" ", "") == got[values[1]]
+    assert all(got[v] == v for v in wrong)
+
+
+def test_short_cards_and_written_dates(spark):
+    cards = ["378282246310005", "3782 822463 10005", "30569309025904", "3782-822463-10004", "1700000000000"]
+    days = ["12/31/2023", "31/12/2023", "31.12.2023", "31-12-2023", "2023-12-31", "32.13.2023", "29.02.2023"]
+    values = cards + days
+    docs = spark.createDataFrame([(i, f"on {v}, end") for i, v in enumerate(values)], "doc_id long, text string")
+    got = {values[r.doc_id]: r.text[3:-5] for r in p.pseudonymise(docs, KEY).collect()}
+    for value in cards[:3]:
+        assert got[value] != value and luhn(re.sub(r"\D", "", got[value])) and got[value][:2] == value[:2]
+        assert re.sub(r"\d", "0", got[value]) == re.sub(r"\d", "0", value)
+    assert got[cards[1]].replace(" ", "") == got[cards[0]]
+    assert all(got[v] == v for v in (*cards[3:], *days[5:]))
+    year, month, day = got["2023-12-31"].split("-")
+    # equal days stay equal, however they are written
+    assert [got[d] for d in days[:4]] == [f"{month}/{day}/{year}", got["31/12/2023"], f"{day}.{month}.{year}", f"{day}-{month}-{year}"]
+    assert got["31/12/2023"] == f"{day}/{month}/{year}"
