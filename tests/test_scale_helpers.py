@@ -252,3 +252,23 @@ def test_complete_rows_and_checks(spark):
     assert (row.n_M, row.n_M_clean, row.nothing_lost) == (2, 1, False)
     assert (row.all_strata_sampled, row.size_near_target, row.max_abs_diff_pct) == (True, True, 0.0)
     assert sampling.critical_nulls(df).first().rank == 1
+
+
+@pytest.mark.parametrize("exact", [True])
+def test_a_sample_is_not_shuffled_by_stratum(spark, tmp_path, exact):
+    """However large the population: rows meet their stratum's quota where they are read."""
+    skewed(spark).write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = ("country", "artist_uri", "date", "rank", "n")
+        if exact:
+            drawn = sampling.sample_exact(df, 100, stratum="country", keys=keys)
+        else:
+            drawn = sampling.sample_bernoulli(df, cohort.strata(df, 100, "country"), "country", keys)
+        plan = drawn._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan
+        assert drawn.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
