@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rankscope.operators import cohort, joins, ordering, sampling
 from rankscope.operators.joins import left_join_by_entity
 from rankscope.operators.ordering import hash_order, rank_in_group
+from rankscope.plans import charts
 
 ROWS = 3000
 
@@ -272,3 +273,46 @@ def test_a_sample_is_not_shuffled_by_stratum(spark, tmp_path, exact):
         assert drawn.count() > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_lines_are_shuffled_once_for_their_score(spark):
+    """Suppliers reach the lines by broadcast, whatever the planner takes them for."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = charts._shipped(spark, SF_DIR, "month", "nation")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+        assert plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_of_a_window_task_are_bounded(spark, monkeypatch):
+    """Small parts are not joined to large ones where the number of rows is known."""
+    monkeypatch.setattr(ordering, "ROWS_PER_TASK", 50)
+    chart = spark.range(1000).selectExpr("date_add(date'2024-01-01', int(id % 5)) fecha", "concat('m', id % 2) pais", "id key", "int(id) rank")
+    plain = charts.with_history(chart, F.date_sub("fecha", 1), "days", "streak")
+    bounded = charts.with_history(chart, F.date_sub("fecha", 1), "days", "streak", 1000)
+    assert bounded._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert Counter(bounded.collect()) == Counter(plain.collect())
+    parts = bounded.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert max(r["count"] for r in parts) < 150
+
+
+def test_a_profile_join_does_not_sort_the_fact(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HASHED_FROM", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = skewed(spark)
+        profile = cohort.entity_profile(fact, rows="__rows")
+        hashed = left_join_by_entity(fact, profile, "artist_uri", "__rows", 100)
+        plan = hashed._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        plain = fact.join(profile.drop("__rows"), "artist_uri", "left").select(hashed.columns)
+        assert Counter(hashed.collect()) == Counter(plain.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
