@@ -316,3 +316,21 @@ def test_a_profile_join_does_not_sort_the_fact(spark, monkeypatch):
         assert Counter(hashed.collect()) == Counter(plain.collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_a_weekly_chart_is_joined_once_with_what_is_known_of_parts(spark, monkeypatch, most):
+    """Labels need no orders; labels and dates come from one table, broadcast or hashed."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", most)
+    join = "BroadcastHashJoin" if most else "ShuffledHashJoin"
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both, labels = charts.weekly_raw(spark, SF_DIR), charts.weekly_raw_with_brand(spark, SF_DIR)
+        for df in (both, labels):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count(join) == 1 and "SortMergeJoin" not in plan and plan.count("FileScan parquet") == 2
+        assert labels.columns == both.columns
+        assert Counter(labels.drop("release_date").collect()) == Counter(both.drop("release_date").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
