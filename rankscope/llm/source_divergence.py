@@ -30,7 +30,6 @@ from string import ascii_lowercase, ascii_uppercase
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +49,9 @@ CELLS = 2_000_000
 #: terms that a join broadcasts, after they were counted
 BROADCAST_ROWS = 1_000_000
 SALTS = 16
+PER = 1_000_000_000
+#: counts below this, times ``PER``, fit a long
+MOST_SHORT = 9_000_000_000
 MOST_BITS = 1 << 28
 
 _ROW = "lang string, chunk string, whole string, docs long, sources array<string>, counts array<long>"
@@ -82,7 +84,7 @@ def _starts(values: np.ndarray) -> np.ndarray:
 
 
 def _counted(texts: list[str | None], langs: list[str | None], sources: list[str | None]) -> pa.Table:
-    """Occurrences and documents of each chunk by language and source."""
+    """Occurrences and documents of each chunk by language and source, these three as codes of dictionaries."""
     pairs: dict[tuple[str, str], int] = {}
     group = np.array([pairs.setdefault((a or "", b or ""), len(pairs)) for a, b in zip(langs, sources, strict=True)], np.int64)
     text, chunk, keys, whole = _cut(texts)
@@ -91,18 +93,19 @@ def _counted(texts: list[str | None], langs: list[str | None], sources: list[str
     cell = place // len(texts)
     starts = _starts(cell)
     at, pair = pa.array(cell[starts] // len(pairs)), pa.array(cell[starts] % len(pairs))
-    named = [pa.array([p[k] for p in pairs], pa.string()).take(pair) for k in (0, 1)]
+    named = [pa.array([p[k] for p in pairs], pa.string()).dictionary_encode().take(pair) for k in (0, 1)]
+    coded = pa.DictionaryArray.from_arrays(at.cast(pa.int32()), keys)
     n = np.add.reduceat(times, starts) if len(starts) else np.zeros(0, np.int64)
     docs = np.diff(np.append(starts, len(cell)))
-    return pa.table([*named, keys.take(at), whole.take(at), pa.array(n), pa.array(docs)], ["lang", "source", "chunk", "whole", "n", "docs"])
+    return pa.table([*named, coded, whole.take(at), pa.array(n), pa.array(docs)], ["lang", "source", "chunk", "whole", "n", "docs"])
 
 
 def _packed(tables: list[pa.Table]) -> pa.RecordBatch:
     """The counts of several tables added up: one row for each language and chunk, its sources in lists."""
-    table = pa.concat_tables(tables)
+    table = pa.concat_tables(tables).unify_dictionaries()
     codes, names = {}, {}
     for name in ("lang", "source", "chunk"):
-        column = table.column(name).combine_chunks().dictionary_encode()
+        column = table.column(name).combine_chunks()
         codes[name], names[name] = column.indices.to_numpy().astype(np.int64), column.dictionary
     langs, sources = max(1, len(names["lang"])), max(1, len(names["source"]))
     row = codes["chunk"] * langs + codes["lang"]
@@ -175,9 +178,28 @@ def _by_term(cut: DataFrame) -> DataFrame:
     return each.withColumn("term", lowered(F.col("term")))
 
 
-def _positions(chunks: list[str], bits: int) -> np.ndarray:
+def _digests(chunks: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each chunk, eight bytes of all chunks in a step. Keys are short, so steps are few."""
+    texts = chunks.cast(pa.large_string())
+    _, bounds, data = texts.buffers()
+    ends = np.frombuffer(bounds or bytes(8), np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    first, length = ends[:-1], np.diff(ends)
+    padded = np.append(np.frombuffer(data or b"", np.uint8), np.zeros(8, np.uint8))
+    words = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    digest = length.astype(np.uint64)
+    for start in range(0, int(length.max(initial=0)), 8):
+        at = np.flatnonzero(length > start)
+        unused = 8 * (8 - np.minimum(length[at] - start, 8)).astype(np.uint64)
+        mixed = (digest[at] ^ (words[first[at] + start] << unused)) * np.uint64(0x9E3779B97F4A7C15)
+        digest[at] = mixed ^ (mixed >> np.uint64(29))
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        digest = (digest ^ (digest >> np.uint64(32))) * np.uint64(factor)
+    return digest ^ (digest >> np.uint64(32))
+
+
+def _positions(chunks: pa.Array, bits: int) -> np.ndarray:
     """Two places in the filter for each chunk."""
-    digests = np.array([xxhash.xxh3_64_intdigest(c.encode()) for c in chunks], np.uint64)
+    digests = _digests(chunks)
     return np.stack([digests, (digests >> np.uint64(32)) | (digests << np.uint64(32))]) % np.uint64(bits)
 
 
@@ -186,7 +208,7 @@ def chunk_filter(chunks: DataFrame, bits: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = np.unique(_positions(batch.column("chunk").to_pylist(), bits)).astype(np.int64)
+            places = np.unique(_positions(batch.column("chunk"), bits)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(places // 32), pa.array(1 << (places % 32))], ["word", "bits"])
 
     words = chunks.select("chunk").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
@@ -198,7 +220,7 @@ def chunk_filter(chunks: DataFrame, bits: int) -> np.ndarray:
 def chunk_documents(docs: DataFrame, filled: np.ndarray, bits: int) -> DataFrame:
     """``(lang, chunk, doc)`` of the chunks whose places in the filter are set; ``doc`` numbers the rows."""
 
-    def passes(chunks: list[str]) -> np.ndarray:
+    def passes(chunks: pa.Array) -> np.ndarray:
         places = _positions(chunks, bits).astype(np.int64)
         if len(filled) == bits:
             return filled[places].all(axis=0)
@@ -210,7 +232,7 @@ def chunk_documents(docs: DataFrame, filled: np.ndarray, bits: int) -> DataFrame
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
             for part in slices(texts, SLICE_CHARS):
                 text, chunk, keys, _ = _cut(texts[part])
-                wanted = np.flatnonzero(passes(keys.to_pylist())[chunk]) if len(chunk) else np.zeros(0, np.int64)
+                wanted = np.flatnonzero(passes(keys)[chunk]) if len(chunk) else np.zeros(0, np.int64)
                 many = max(1, len(keys))
                 text, chunk = np.divmod(np.unique(text[wanted] * many + chunk[wanted]), many)
                 lang = pa.array([x or "" for x in langs[part]], pa.string()).take(pa.array(text))
@@ -257,10 +279,12 @@ def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS, held_rows: int =
 
 
 def _probability(n: Column) -> Column:
-    """``1 + floor(10^9 (n + 2) / (total + 2 kept))`` in decimals; 1 where the language keeps no term."""
-    part = F.lit(1_000_000_000).cast("decimal(10,0)") * (n + 2).cast("decimal(20,0)")
-    whole = (F.col("total") + 2 * F.col("kept")).cast("decimal(20,0)")
-    return F.when(F.col("kept") > 0, 1 + F.call_function("div", part, whole)).otherwise(1).cast("long")
+    """``1 + floor(10^9 (n + 2) / (total + 2 kept))``, in decimals where a long is too short; 1 where the language keeps no term."""
+    whole = F.col("total") + 2 * F.col("kept")
+    short = F.call_function("div", F.lit(PER).cast("long") * (n + 2), whole)
+    part = F.lit(PER).cast("decimal(10,0)") * (n + 2).cast("decimal(20,0)")
+    long = F.call_function("div", part, whole.cast("decimal(20,0)"))
+    return F.when(F.col("kept") > 0, 1 + F.when(n < MOST_SHORT, short).otherwise(long)).otherwise(1).cast("long")
 
 
 def _gap(p: Column, q: Column) -> Column:

@@ -4,7 +4,9 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rankscope.llm import source_divergence as sd
 
@@ -117,3 +119,28 @@ def test_documents_of_several_chunks_count_once(spark):
     rows += [("Bb bb", "en", "x"), ("bb. BB", "en", "x"), ("(bb)", "en", "y")] + [("cc", "en", "x")] * 4
     found = audited(spark, [(*r, 0, "", "") for r in rows], least_docs=4)
     assert found == brute(rows, 4) and {r[3] for r in found if r[2] == "term"} == {"aa", "cc"}
+
+
+def test_digests_follow_the_bytes_alone():
+    words = ["", "a", "a\0", "\0a", "ab" * 4, "ab" * 4 + "a", "é", "日本" * 9, "x" * 64, " " + "f" * 64, *(f"w{i}" for i in range(5000))]
+    chunks = pa.array(words)
+    digests = sd._digests(chunks)
+    assert len(set(digests.tolist())) == len(words)
+    assert (sd._digests(chunks[3:40]) == digests[3:40]).all()  # wherever a text lies
+    assert (sd._digests(pa.array(words[::-1]))[::-1] == digests).all()
+    assert len(sd._digests(pa.array([], pa.string()))) == 0
+
+
+def test_counts_carry_codes_not_texts():
+    """No chunk is copied for each place that has it, and dictionaries of several slices meet in one."""
+    one = sd._counted(["b a b", "a"], ["en", None], ["s", "s"])
+    two = sd._counted(["c b", None], ["en", "en"], ["t", "s"])
+    assert all(pa.types.is_dictionary(one.schema.field(c).type) for c in ("lang", "source", "chunk"))
+    rows = {(r["lang"], r["chunk"]): (r["docs"], dict(zip(r["sources"], r["counts"], strict=True))) for r in sd._packed([one, two]).to_pylist()}
+    assert rows == {("en", "b"): (2, {"s": 2, "t": 1}), ("en", "a"): (1, {"s": 1}), ("", "a"): (1, {"s": 1}), ("en", "c"): (1, {"t": 1})}
+
+
+def test_probability_is_exact_on_both_sides_of_a_long(spark):
+    cases = [(0, 0, 0), (0, 5, 3), (7, 10**12 + 7, 11), (sd.MOST_SHORT - 1, sd.MOST_SHORT, 1), (sd.MOST_SHORT, 10**15, 2), (10**15, 10**15, 2)]
+    rows = spark.createDataFrame(cases, "n long, total long, kept long").select("n", "total", "kept", sd._probability(F.col("n")).alias("p"))
+    assert {tuple(r) for r in rows.collect()} == {(n, t, k, 1 + 10**9 * (n + 2) // (t + 2 * k) if k else 1) for n, t, k in cases}
