@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 
 from rankscope.llm.common import released, runs, slices, store
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+LETTER = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"
+TERM = f"{LETTER}+"
 LEAST_DOCS = 10
 BEST_TERMS = 10
 #: characters of texts that are cut in one go, and rows that a task holds before it hands them on
@@ -157,8 +158,10 @@ def cut_chunks(docs: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
 
     One shuffle by chunk; a chunk comes from a task once, and what is collected is bounded by the sources.
     """
-    cells = F.arrays_zip("sources", "counts")
-    apart = chunk_rows(docs, held_rows).repartition("chunk").select("*", F.posexplode(cells).alias("place", "cell"))
+    text, cells = F.coalesce("whole", "chunk"), F.arrays_zip("sources", "counts")
+    # a filter on the terms would cut each task's chunks before the shuffle; one that looks for a letter is cheap there
+    lettered = chunk_rows(docs, held_rows).filter(text.rlike(LETTER))
+    apart = lettered.repartition("chunk").select("*", F.posexplode(cells).alias("place", "cell"))
     # a chunk's long form is a key, not an aggregate, so that the sums stay in a hash table
     by_source = apart.groupBy("chunk", "whole", "lang", F.col("cell.sources").alias("source")).agg(
         F.sum("cell.counts").alias("n"), F.sum(F.when(F.col("place") == 0, F.col("docs")).otherwise(0)).alias("docs")
@@ -167,8 +170,7 @@ def cut_chunks(docs: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
         F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.collect_list(F.struct("source", "n")).alias("cells")
     )
     whole = by_lang.groupBy("chunk", "whole").agg(F.collect_list(F.struct("lang", "docs", "n", "cells")).alias("found"))
-    words = F.regexp_extract_all(F.coalesce("whole", "chunk"), F.lit(f"({TERM})"), F.lit(1))
-    return whole.select("chunk", words.alias("terms"), "found").filter(F.size("terms") > 0)
+    return whole.select("chunk", F.regexp_extract_all(text, F.lit(f"({TERM})"), F.lit(1)).alias("terms"), "found")
 
 
 def _by_term(cut: DataFrame) -> DataFrame:

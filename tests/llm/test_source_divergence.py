@@ -144,3 +144,10 @@ def test_probability_is_exact_on_both_sides_of_a_long(spark):
     cases = [(0, 0, 0), (0, 5, 3), (7, 10**12 + 7, 11), (sd.MOST_SHORT - 1, sd.MOST_SHORT, 1), (sd.MOST_SHORT, 10**15, 2), (10**15, 10**15, 2)]
     rows = spark.createDataFrame(cases, "n long, total long, kept long").select("n", "total", "kept", sd._probability(F.col("n")).alias("p"))
     assert {tuple(r) for r in rows.collect()} == {(n, t, k, 1 + 10**9 * (n + 2) // (t + 2 * k) if k else 1) for n, t, k in cases}
+
+
+def test_terms_are_cut_once_a_chunk(spark):
+    docs = spark.createDataFrame([("12 a1b -- " + "9" * 70, "en", "s"), ("é !! " + "-" * 70 + "x", "en", "t")], "text string, lang string, source string")
+    cut = sd.cut_chunks(docs)
+    assert {tuple(r.terms) for r in cut.collect()} == {("a", "b"), ("é",), ("x",)}
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
