@@ -25,14 +25,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from rankscope.llm.common import released, slices
+from rankscope.llm.common import cut, released, slices, strings
 
 NO_PAIR = np.int32(2**31 - 1)
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 20, 24, 32, 48, 64, 96, 128, 192, 256, 512, 1024)
 CELLS = 1 << 18
-REMEMBERED = 250_000
-#: characters of texts that are encoded in one go
-TOGETHER = 3_000_000
+#: words whose ids are remembered, about 400 bytes each
+REMEMBERED = 100_000
+#: characters of texts that are encoded in one go, and UTF-8 bytes of texts whose ids are handed on in one batch
+TOGETHER = 1_000_000
 BLANK_AFTER_SPACE = re.compile(r" (?:\s|$)").search
 
 
@@ -207,16 +208,34 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+class _Fresh:
+    """Strings in the order in which they were first seen; only those since the last ``take`` are held."""
+
+    def __init__(self) -> None:
+        self.taken, self.waiting = 0, []
+
+    def __len__(self) -> int:
+        return self.taken + len(self.waiting)
+
+    def add(self, string: str) -> int:
+        self.waiting.append(string)
+        return self.taken + len(self.waiting) - 1
+
+    def take(self) -> list[str]:
+        taken, self.waiting = self.waiting, []
+        self.taken += len(taken)
+        return taken
+
+
 class _Numbers(dict):
     """Numbers strings in the order in which they first appear; several may share one order."""
 
-    def __init__(self, order: list[str], prefix: str = ""):
+    def __init__(self, order: _Fresh, prefix: str = ""):
         super().__init__()
         self.order, self.prefix = order, prefix
 
     def __missing__(self, piece: str) -> int:
-        self[piece] = number = len(self.order)
-        self.order.append(self.prefix + piece)
+        self[piece] = number = self.order.add(self.prefix + piece)
         return number
 
 
@@ -263,10 +282,10 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.words: list[str] = []
+        self.words = _Fresh()
         self.plain, self.spaced = _Numbers(self.words), _Numbers(self.words, " ")
         self.word_ids = _Spans()
-        self.pieces: list[str] = []
+        self.pieces = _Fresh()
         self.piece = _Numbers(self.pieces)
         self.piece_ids = _Spans()
 
@@ -289,12 +308,11 @@ class Encoder:
         """All ids one after another, and how many each text has."""
         if len(self.words) > REMEMBERED:
             self._forget()
-        words, pieces = len(self.words), len(self.pieces)
         used, words_in = _lists([self._numbers(t) for t in texts])
-        if len(self.words) > words:
+        if fresh := self.words.take():
             number = self.piece.__getitem__
-            parts, parts_in = _lists([list(map(number, self.split(w))) for w in self.words[words:]])
-            new = [p.encode("utf-8", "surrogatepass") for p in self.pieces[pieces:]]
+            parts, parts_in = _lists([list(map(number, self.split(w))) for w in fresh])
+            new = [p.encode("utf-8", "surrogatepass") for p in self.pieces.take()]
             self.piece_ids.add(*self.vocabulary.encode_pieces(new))
             ids, sizes = self.piece_ids.take(parts)
             self.word_ids.add(ids, _totals(sizes, parts_in))
@@ -318,10 +336,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, pattern)
-        for batch in batches:
-            flat, bounds = encoder.encode([x or "" for x in batch.column(text).to_pylist()])
+        for part in cut(batches, text, TOGETHER):
+            flat, bounds = encoder.encode(strings(part, text))
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, ids])
+            yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, ids])
 
     return kept.mapInArrow(released(run), schema)
 

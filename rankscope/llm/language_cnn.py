@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankscope.llm.common import released, slices
+from rankscope.llm.common import cut, released, slices
 
 WINDOW = 256
 EMBED = 8
@@ -227,7 +227,7 @@ def keep_known(docs: DataFrame, net: Network | None, least_share: float, text: s
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in cut(batches, text, TOGETHER):
             texts = batch.column(names.index(text)).to_pylist()
             if net is None:
                 said = [(None, 1.0 if t and _LETTER(t) else -1.0) for t in texts]

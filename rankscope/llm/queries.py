@@ -25,7 +25,7 @@ from rankscope.llm import (
     shard_propagation,
     source_divergence,
 )
-from rankscope.llm.common import strings, table
+from rankscope.llm.common import cut, strings, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -55,7 +55,7 @@ def bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = byte_bpe.Encoder(RANKS, PATTERN)
-        for batch in batches:
+        for batch in cut(batches, "text", byte_bpe.TOGETHER):
             flat, bounds = encoder.encode(strings(batch, "text"))
             flat = flat.astype("<u4")
             ids = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from tables import TINY
@@ -50,6 +51,37 @@ def test_round_trip_with_odd_rows(spark, odd_docs, reference):
     assert byte_bpe.encode(odd_docs.limit(0), RANKS, PATTERN).count() == 0
 
 
+def test_a_batch_is_encoded_and_handed_on_in_stretches(spark, odd_docs, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["ab", "don't", "日本", "x" * 40], k=rng.randint(0, 60))) for _ in range(400)]
+    texts[7], texts[8], texts[9] = None, "", "long " * 3000
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(400)), "text": pa.array(texts, pa.string())})
+    for size, parts in [(1, 350), (5000, 30), (10**9, 1)]:
+        monkeypatch.setattr(byte_bpe, "TOGETHER", size)
+        with monkeypatch.context() as m:
+            m.setattr(type(odd_docs), "mapInArrow", lambda self, run, schema: run)
+            run = byte_bpe.encode(odd_docs.select("doc_id", "text"), RANKS, PATTERN)
+        made = list(run(iter([batch.slice(0, 0), batch, batch.slice(3, 20)])))
+        assert len(made) >= parts
+        for part in made:
+            # all but the last text of a stretch begin and end inside it
+            assert sum(len((t or "").encode()) for t in part.column("text").to_pylist()[:-1]) <= size
+        rows = pa.Table.from_batches(made).to_pylist()
+        assert [r["doc_id"] for r in rows] == [*range(400), *range(3, 23)]
+        whole = byte_bpe.Encoder(RANKS, PATTERN)
+        for row in rows:
+            assert row["text"] == texts[row["doc_id"]]
+            assert row["token_ids"] == whole.encode([row["text"] or ""])[0].tolist()
+
+
+def test_words_that_were_encoded_are_not_kept_twice():
+    encoder = byte_bpe.Encoder(RANKS, PATTERN)
+    for turn in range(3):
+        encoder.encode([" ".join(f"w{turn}x{i}" for i in range(1000))])
+        assert len(encoder.words) == 1000 * (turn + 1)
+        assert not encoder.words.waiting and not encoder.pieces.waiting
+
+
 def test_query_equals_the_library(spark, tiny_docs, reference):
     got = bpe_digests(spark, TINY).toPandas().set_index("doc_id")
     for row in tiny_docs.itertuples():
